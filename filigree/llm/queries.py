@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import canonical, sql
+from filigree.llm import canonical, packing, sql
 from filigree.runtime import table
 
 
@@ -16,7 +16,16 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"))
 
 
-QUERIES = {f.__name__: f for f in (p8_found,)}
+def _pack_specs(spark: SparkSession, sf_dir: str) -> list[packing.Spec]:
+    rows = table(spark, sf_dir, "pack_specs").orderBy("capacity_tokens", "spec_name").collect()  # a fixed table of three rows
+    return [packing.Spec(r.spec_name, r.capacity_tokens, r.separator_tokens or 0) for r in rows]
+
+
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", _pack_specs(spark, sf_dir)).withColumnRenamed("key", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p6_containers, p8_found)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
