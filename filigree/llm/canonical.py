@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filigree.runtime import bound_batches
+from filigree.runtime import bound_batches, stage
 
 # Letters with the shape of a Latin letter, by script and case.
 CYRILLIC_UPPER = dict(zip("АВЕЅІЈКМНОРСТХҮԚԜ", "ABESIJKMHOPCTXYQW"))
@@ -213,7 +213,7 @@ def lookalike_pairs(df: DataFrame, key: str, text: str = "text", min_chars: int
     Classes of equal texts are paired first and then expanded to their rows,
     so pairs of equal texts are never made.
     """
-    prints = fingerprints(df, key, text, min_chars).distinct()
+    prints = stage(fingerprints(df, key, text, min_chars).distinct(), label="form-prints")
     texts = lookalike_classes(prints)
     left = texts.select("form", F.col("raw").alias("raw_a"))
     right = texts.select("form", F.col("raw").alias("raw_b"))
