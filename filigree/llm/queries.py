@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import canonical, packing, sql
+from filigree.llm import canonical, packing, splitting, sql
 from filigree.runtime import table
 
 
@@ -16,6 +16,27 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"))
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, item_key, text): sections by id and chunks by chunk_id."""
+    sections = table(spark, sf_dir, "filing_sections").select(F.lit("section").alias("kind"), F.col("id").cast("string").alias("item_key"), F.col("markdown").alias("text"))
+    chunks = table(spark, sf_dir, "chunks").select(F.lit("chunk").alias("kind"), F.col("chunk_id").alias("item_key"), "text")
+    return sections.unionByName(chunks)
+
+
+def _chunk_configs(spark: SparkSession, sf_dir: str) -> list[splitting.Config]:
+    rows = table(spark, sf_dir, "chunk_configs").orderBy("config_name").collect()  # a fixed table of three rows
+    return [splitting.Config(r.config_name, r.max_tokens, r.overlap_tokens, r.min_tokens, r.tokens_per_word) for r in rows]
+
+
+def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split(_texts(spark, sf_dir), ["kind", "item_key"], "text", _chunk_configs(spark, sf_dir))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = splitting.split(_texts(spark, sf_dir), ["kind", "item_key"], "text", _chunk_configs(spark, sf_dir), with_text=False)
+    return pieces.where("piece = 0 and item_key is not null").select("kind", "item_key", "config_name").distinct()
+
+
 def _pack_specs(spark: SparkSession, sf_dir: str) -> list[packing.Spec]:
     rows = table(spark, sf_dir, "pack_specs").orderBy("capacity_tokens", "spec_name").collect()  # a fixed table of three rows
     return [packing.Spec(r.spec_name, r.capacity_tokens, r.separator_tokens or 0) for r in rows]
@@ -25,7 +46,7 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", _pack_specs(spark, sf_dir)).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p6_containers, p8_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p6_containers, p8_found)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

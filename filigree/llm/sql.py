@@ -1,3 +1,15 @@
 """SQL for the queries of this subpackage that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "p3_found": r"""
+        with texts as (
+            select 'section' as kind, cast(id as varchar) as item_key, markdown as body from filing_sections
+            union all
+            select 'chunk', chunk_id, text from chunks
+        ), sizes as (
+            select kind, item_key, len(regexp_extract_all(body, '[^ \t\r\n]+')) as words from texts where item_key is not null
+        )
+        select distinct kind, item_key, config_name
+        from sizes, chunk_configs
+        where floor(words * tokens_per_word) > max_tokens""",
+}
