@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import canonical, packing, splitting, sql
+from filigree.llm import canonical, contamination, packing, splitting, sql
 from filigree.runtime import table
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), "doc_id", "text", "item_id", "passage")
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = canonical.lookalike_pairs(table(spark, sf_dir, "documents"), "doc_id", "text", min_chars=30)
     return pairs.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"))
@@ -46,7 +51,7 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", _pack_specs(spark, sf_dir)).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p6_containers, p8_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p6_containers, p7_found, p8_found)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
