@@ -150,6 +150,10 @@ def _hits(ids: np.ndarray, width: int, among: np.ndarray) -> tuple[np.ndarray, n
 
 def _distance(a: list[int], b: list[int]) -> int:
     """Edit distance over words of two short lists."""
+    if not a or not b:
+        return len(a) + len(b)
+    if len(a) == len(b) and (same := sum(x != y for x, y in zip(a, b))) < 3:
+        return same
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         last, row[0] = row[0], i
@@ -184,11 +188,11 @@ def stretches(passage: np.ndarray, text: np.ndarray, runs: list[list[int]]) -> l
         score, back, cost = [], [], []
         for b, (i, j, n) in enumerate(runs):
             best, prev, spent = n, -1, 0
-            for a in range(b - 1, max(-1, b - 40), -1):
+            for a in range(b - 1, max(-1, b - 24), -1):
                 x, y, m = runs[a]
                 lap = max(0, x + m - i, y + m - j)  # overlapping runs meet on the shorter side
                 di, dj = i + lap - x - m, j + lap - y - m
-                if lap >= n or x >= i or y >= j or di > REACH or dj > REACH:
+                if lap >= n or x >= i or y >= j or di > REACH or dj > REACH or score[a] + n - lap - 2 * abs(di - dj) <= best:
                     continue
                 edits = _distance(passage[x + m : i + lap].tolist(), text[y + m : j + lap].tolist())
                 if score[a] + n - lap - 2 * edits > best:
@@ -217,19 +221,33 @@ def leaks(passage: Passage, text: np.ndarray, at_item: np.ndarray, at_text: np.n
     n, q = len(passage.ids), passage.width
     slack = passage.edits + 3
     need = max(1, passage.stretch - q + 1 - q * (passage.edits + 1))
+    few = max(1, need // 3)
     diagonal = at_text - at_item
     order = np.lexsort((at_text, diagonal))
     diagonal, i, j = diagonal[order], at_item[order], at_text[order]
-    # windows: hits whose diagonals lie close together
+    # windows: hits whose diagonals lie close together, no longer in the text than the item
     cuts = np.flatnonzero(np.diff(diagonal) > slack) + 1
     kept: list[list[int]] = []
+    whole = False
     for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(diagonal)]):
-        new = np.ones(z - a, bool)
-        new[1:] = (np.diff(diagonal[a:z]) != 0) | (np.diff(i[a:z]) != 1)
-        begin = np.flatnonzero(new)
-        length = np.diff([*begin.tolist(), z - a]) + q - 1
-        if z - a >= need or len(at_item) >= n // 2:
-            kept += [[int(i[a + b]), int(j[a + b]), int(m)] for b, m in zip(begin, length)]
+        if z - a < few:
+            continue
+        along = np.argsort(j[a:z], kind="stable") + a
+        gaps = np.flatnonzero(np.diff(j[along]) > n) + 1
+        for part in np.split(along, gaps):
+            part = np.sort(part)
+            different = len(np.unique(i[part]))
+            if different < few:
+                continue
+            whole |= different >= need
+            d, x, y = diagonal[part], i[part], j[part]
+            new = np.ones(len(part), bool)
+            new[1:] = (np.diff(d) != 0) | (np.diff(x) != 1)
+            begin = np.flatnonzero(new)
+            length = np.diff([*begin.tolist(), len(part)]) + q - 1
+            kept += [[int(x[b]), int(y[b]), int(m)] for b, m in zip(begin, length)]
+    if not whole and sum(r[2] for r in kept) < WHOLE * n / 2:
+        return False
     if not kept:
         return False
     found = [s for s in stretches(passage.ids, text, kept) if s[4] <= EDITS * max(s[1] - s[0], s[3] - s[2]) + 1]
