@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import canonical, contamination, packing, splitting, sql
+from filigree.llm import canonical, contamination, neardup, packing, splitting, sql
 from filigree.runtime import table
 
 
+def _near_copies(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
+    texts = _texts(spark, sf_dir).where("item_key is not null")
+    return neardup.near_duplicates(texts, ["kind", "item_key"], "text", within=["kind"], threshold=0.6, width=3, min_words=30)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _near_copies(spark, sf_dir).pairs().where("id_a.kind = id_b.kind")
+    return pairs.select(F.col("id_a.kind").alias("kind"), F.col("id_a.item_key").alias("key_a"), F.col("id_b.item_key").alias("key_b"))
+
+
+def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near_copies(spark, sf_dir).classes()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), "doc_id", "text", "item_id", "passage")
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
@@ -51,7 +65,7 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", _pack_specs(spark, sf_dir)).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p6_containers, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p5_found, p5_classes, p6_containers, p7_found, p8_found)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
