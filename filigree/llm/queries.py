@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import canonical, contamination, neardup, packing, splitting, sql
+from filigree.llm import canonical, contamination, neardup, neighbors, packing, splitting, sql
 from filigree.runtime import table
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = neighbors.neighbours(table(spark, sf_dir, "chunks"), "chunk_id", "embedding", k=5)
+    return near.select(F.least("key", "other").alias("chunk_a"), F.greatest("key", "other").alias("chunk_b")).distinct()
+
+
 def _near_copies(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
     texts = _texts(spark, sf_dir).where("item_key is not null")
     return neardup.near_duplicates(texts, ["kind", "item_key"], "text", within=["kind"], threshold=0.6, width=3, min_words=30)
@@ -65,7 +70,7 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", _pack_specs(spark, sf_dir)).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p5_found, p5_classes, p6_containers, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p4_found, p5_found, p5_classes, p6_containers, p7_found, p8_found)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
