@@ -180,10 +180,12 @@ def _grow(a: list[int], b: list[int]) -> tuple[int, int, int]:
 REACH = 14
 
 
-def stretches(passage: np.ndarray, text: np.ndarray, runs: list[list[int]]) -> list[tuple[int, int, int, int, int]]:
-    """(from, to, from in text, to in text, edits) of the aligned stretches, by chaining runs [place, place in text, length]."""
+def stretches(passage: np.ndarray, text: np.ndarray, runs: list[list[int]], least: float = 0):
+    """(from, to, from in text, to in text, edits) of the aligned stretches, best first, by chaining runs [place, place in text, length].
+
+    Ends where no chain has ``least`` matching words after taking off two for every edit.
+    """
     runs = sorted(runs, key=lambda r: (r[1], r[0]))
-    out = []
     while runs:
         score, back, cost = [], [], []
         for b, (i, j, n) in enumerate(runs):
@@ -201,6 +203,8 @@ def stretches(passage: np.ndarray, text: np.ndarray, runs: list[list[int]]) -> l
             back.append(prev)
             cost.append(spent)
         b = max(range(len(runs)), key=score.__getitem__)
+        if score[b] < least:
+            return
         i1, j1, edits, used = runs[b][0] + runs[b][2], runs[b][1] + runs[b][2], 0, set()
         while b >= 0:
             used.add(b)
@@ -211,9 +215,8 @@ def stretches(passage: np.ndarray, text: np.ndarray, runs: list[list[int]]) -> l
         i1, j1, edits = i1 + di, j1 + dj, edits + more
         di, dj, more = _grow(passage[max(0, i0 - REACH) : i0][::-1].tolist(), text[max(0, j0 - REACH) : j0][::-1].tolist())
         i0, j0, edits = i0 - di, j0 - dj, edits + more
-        out.append((i0, i1, j0, j1, edits))
+        yield i0, i1, j0, j1, edits
         runs = [r for k, r in enumerate(runs) if k not in used and not (i0 <= r[0] < i1 and j0 <= r[1] < j1)]
-    return out
 
 
 def leaks(passage: Passage, text: np.ndarray, at_item: np.ndarray, at_text: np.ndarray) -> bool:
@@ -250,9 +253,19 @@ def leaks(passage: Passage, text: np.ndarray, at_item: np.ndarray, at_text: np.n
         return False
     if not kept:
         return False
-    found = [s for s in stretches(passage.ids, text, kept) if s[4] <= EDITS * max(s[1] - s[0], s[3] - s[2]) + 1]
-    if any(3 * (i1 - i0) >= n for i0, i1, *_ in found):
-        return True
+    # a qualifying stretch scores at least a third of the words less three for every edit, before its ends are grown
+    covered = np.zeros(n, bool)
+    for x, _, m in kept:
+        covered[x : x + m] = True
+    parts = covered.sum() >= WHOLE * n - 2 * q
+    found = []
+    for s in stretches(passage.ids, text, kept, 0 if parts else 0.15 * n):
+        if s[4] <= EDITS * max(s[1] - s[0], s[3] - s[2]) + 1:
+            if 3 * (s[1] - s[0]) >= n:
+                return True
+            found.append(s)
+    if not parts:
+        return False
     # several shorter stretches in the item's order that make up the passage
     found.sort()
     best: list[int] = []
@@ -261,9 +274,85 @@ def leaks(passage: Passage, text: np.ndarray, at_item: np.ndarray, at_text: np.n
     return max(best, default=0) >= WHOLE * n
 
 
-def _batch_ids(texts: list[str | None], vocabulary: dict[bytes, int]) -> list[np.ndarray]:
+def _batch_ids(texts: list[str | None], vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Word ids of many texts in one line, a 0 after each text, and where each begins."""
     get = vocabulary.get
-    return [np.array([get(w, 0) for w in words(t)], np.int64) if t else np.zeros(0, np.int64) for t in texts]
+    line: list[int] = []
+    starts = []
+    for t in texts:
+        starts.append(len(line))
+        if t:
+            line += [get(w, 0) for w in words(t)]
+        line.append(0)
+    return np.array(line, np.int64), np.array([*starts, len(line)], np.int64)
+
+
+class Finder:
+    """The index of a block in arrays, for the search over batches of texts."""
+
+    ENTRIES = 1 << 20
+
+    def __init__(self, index: Index, prefixes: dict[int, np.ndarray]) -> None:
+        self.index = index
+        self.need = np.array([max(1, p.stretch - p.width + 1 - p.width * (p.edits + 1)) for p in index.passages], np.int64)
+        self.tables = []
+        for q, keys in index.keys.items():
+            places = [index.places[q][k] for k in keys.tolist()]
+            begin = np.cumsum([0, *map(len, places)])
+            flat = np.array([x for y in places for x in y], np.int64).reshape(-1, 2)
+            self.tables.append((q, keys, begin, flat[:, 0], flat[:, 1], np.isin(keys, prefixes[q])))
+
+    def find(self, ids: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
+        """(text, passage) of the leaks."""
+        return [pair for table in self.tables for pair in self._find(ids, starts, *table)]
+
+    def _find(self, ids, starts, q, keys, begin, owner, place, rare):
+        got, at = _hits(ids, q, keys)
+        key = np.searchsorted(keys, got)
+        doc = np.searchsorted(starts, at, "right") - 1
+        n = len(starts) - 1
+        least = min(int(self.need[p]) for p in np.unique(owner))
+        keep = ((np.bincount(doc, minlength=n) >= least) & (np.bincount(doc, rare[key], minlength=n) > 0))[doc]
+        key, at, doc = key[keep], at[keep], doc[keep]
+        copies = begin[key + 1] - begin[key]
+        total = np.concatenate(([0], np.cumsum(copies)))
+        passages = len(self.need)
+        lo = 0
+        while lo < len(doc):
+            # whole texts, until the entries are enough
+            hi = int(np.searchsorted(total, total[lo] + self.ENTRIES))
+            hi = int(np.searchsorted(doc, doc[min(hi, len(doc)) - 1], "right"))
+            which = np.repeat(np.arange(lo, hi), copies[lo:hi])
+            entry = np.arange(len(which)) - np.repeat(total[lo:hi] - total[lo], copies[lo:hi]) + begin[key[which]]
+            p = owner[entry]
+            group = (doc[which] - doc[lo]) * passages + p
+            count = np.bincount(group)
+            flagged = np.bincount(group, rare[key[which]], minlength=len(count))
+            good = (count >= self.need[np.arange(len(count)) % passages]) & (flagged > 0)
+            own = good[group]
+            which, entry, group = which[own], entry[own], group[own]
+            diagonal = at[which] - starts[doc[which]] - place[entry]
+            yield from self._windows(ids, starts, group, diagonal, place[entry], int(doc[lo]) if len(which) else 0)
+            lo = hi
+
+    def _windows(self, ids, starts, group, diagonal, place, base):
+        if not len(group):
+            return
+        order = np.lexsort((diagonal, group))
+        group, diagonal, place = group[order], diagonal[order], place[order]
+        passages = len(self.need)
+        edge = np.flatnonzero(np.concatenate(([True], np.diff(group) != 0, [True])))
+        for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            doc, p = base + int(group[a]) // passages, int(group[a]) % passages
+            passage, need, few = self.index.passages[p], int(self.need[p]), max(1, int(self.need[p]) // 3)
+            d = diagonal[a:z]
+            # hits of one stretch lie on diagonals no further apart than its edits
+            reach = np.searchsorted(d, d + passage.edits + 2, "right") - np.arange(z - a)
+            if reach.max() < need and (reach.max() < few or z - a < 2 * need):
+                continue
+            text = ids[starts[doc] : starts[doc + 1] - 1]
+            if leaks(passage, text, place[a:z], d + place[a:z]):
+                yield doc, p
 
 
 def _pass(df: DataFrame, key: str, text: str, index: Index) -> DataFrame:
@@ -275,11 +364,11 @@ def _pass(df: DataFrame, key: str, text: str, index: Index) -> DataFrame:
         index = shared.value
         total = {q: np.zeros(len(k), np.int64) for q, k in index.keys.items()}
         for b in batches:
-            for ids in _batch_ids(b.column("text").to_pylist(), index.vocabulary):
-                for q, keys in index.keys.items():
-                    got, _ = _hits(ids, q, keys)
-                    if len(got):
-                        total[q][np.unique(np.searchsorted(keys, got))] += 1
+            ids, starts = _batch_ids(b.column("text").to_pylist(), index.vocabulary)
+            for q, keys in index.keys.items():
+                got, at = _hits(ids, q, keys)
+                doc = np.searchsorted(starts, at, "right") - 1
+                total[q] += np.bincount(np.unique(doc * len(keys) + np.searchsorted(keys, got)) % len(keys), minlength=len(keys))
         for q, n in total.items():
             at = np.flatnonzero(n)
             yield pa.record_batch([pa.array(np.full(len(at), q), pa.int64()), pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["width", "at", "n"])
@@ -287,35 +376,16 @@ def _pass(df: DataFrame, key: str, text: str, index: Index) -> DataFrame:
     counted = rows.select("text").mapInArrow(count, "width bigint, at bigint, n bigint").groupBy("width", "at").agg(F.sum("n").alias("n")).collect()  # at most a line for each shingle of the block
     seen = {(r.width, int(index.keys[r.width][r["at"]])): r.n for r in counted}
     needed = context.broadcast(index.prefixes(seen))
-    item_type = "bigint"
 
     def find(batches):
-        index, prefixes = shared.value, needed.value
+        finder = Finder(shared.value, needed.value)
         for b in batches:
-            docs, items = [], []
-            for n, ids in enumerate(_batch_ids(b.column("text").to_pylist(), index.vocabulary)):
-                for q, prefix in prefixes.items():
-                    rare, _ = _hits(ids, q, prefix)
-                    if not len(rare):
-                        continue
-                    candidates = {p for k in set(rare.tolist()) for p, _ in index.places[q][k]}
-                    got, where = _hits(ids, q, index.keys[q])
-                    pairs: dict[int, list[tuple[int, int]]] = {}
-                    for k, j in zip(got.tolist(), where.tolist()):
-                        for p, i in index.places[q][k]:
-                            if p in candidates:
-                                pairs.setdefault(p, []).append((i, j))
-                    for p, hits in pairs.items():
-                        passage = index.passages[p]
-                        if len(hits) < max(1, passage.stretch - q + 1 - q * (passage.edits + 1)):
-                            continue
-                        at = np.array(hits, np.int64)
-                        if leaks(passage, ids, at[:, 0], at[:, 1]):
-                            docs += [n] * len(passage.items)
-                            items += passage.items
+            found = finder.find(*_batch_ids(b.column("text").to_pylist(), finder.index.vocabulary))
+            pairs = [(d, item) for d, p in found for item in finder.index.passages[p].items]
+            docs, items = zip(*pairs) if pairs else ((), ())
             yield pa.record_batch([b.column("doc").take(pa.array(docs, pa.int64())), pa.array(items, pa.int64())], ["doc", "item"])
 
-    return rows.mapInArrow(find, f"doc {df.schema[key].dataType.simpleString()}, item {item_type}")
+    return rows.mapInArrow(find, f"doc {df.schema[key].dataType.simpleString()}, item bigint")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, doc_key: str, text: str, item_key: str, passage: str, block_words: int = BLOCK_WORDS) -> DataFrame:
