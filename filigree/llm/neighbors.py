@@ -18,7 +18,7 @@ entries in a task of its own; nothing is dropped.
 
 Defined results: vectors that are null, hold a null, NaN or infinity, are all
 zero or of another length than ``dim`` take no part; a repeated id counts
-once, with the smallest of its vectors; equal cosines rank by id; fewer than k
+once, with the vector of the smallest hash; equal cosines rank by id; fewer than k
 others give fewer neighbours.
 """
 
@@ -245,16 +245,17 @@ def neighbours(
 ) -> DataFrame:
     """(key, other, cosine, rank): the k most similar others of every usable vector."""
     bound_batches(df.sparkSession)
-    rows = df.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector")).where("key is not null and vector is not null and size(vector) > 0")
+    rows = df.select(F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("vector")).where("key is not null and vector is not null and size(vector) > 0")
     if dim is None:
         common = rows.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
         dim = common["dim"] if common else 1
     bad = F.exists("vector", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     rows = rows.where((F.size("vector") == dim) & ~bad & F.exists("vector", lambda v: v != 0))
-    rows = rows.groupBy("key").agg(F.min("vector").alias("vector")).withColumn("class", F.xxhash64("vector"))
-    rows = stage(rows, label="usable-vectors")
-    members = rows.select("key", "class")
-    unit = stage(rows.groupBy("class").agg(F.first("vector").alias("vector")).mapInArrow(_to_bytes(dim), "class bigint, vector binary"), label="unit-vectors")
+    rows = rows.withColumn("class", F.xxhash64("vector"))
+    members = stage(rows.groupBy("key").agg(F.min("class").alias("class")), label="vector-classes")
+    # grouped by class as the members' classes are joined, so that vectors move once
+    unit = rows.groupBy("class").agg(F.first("vector").alias("vector")).join(members.select("class").distinct(), "class", "left_semi")
+    unit = stage(unit.mapInArrow(_to_bytes(dim), "class bigint, vector binary"), label="unit-vectors")
     n = unit.count()
     per = log(VALUES_PER_FUNCTION)
     m = max(2, round(log(max(2, n / bucket_rows)) / per))
