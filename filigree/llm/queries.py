@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import canonical, contamination, neardup, neighbors, packing, splitting, sql
-from filigree.runtime import table
+from filigree.llm import canonical, contamination, names, neardup, neighbors, packing, splitting, sql
+from filigree.runtime import padded_cik, plain_accession, table
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,24 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"))
 
 
+def _name_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, company, names, date) of mentions and nodes."""
+    filings = table(spark, sf_dir, "filings").select(plain_accession(F.col("accession_number")).alias("filing"), padded_cik(F.col("cik")).alias("company")).dropna().distinct()
+    mentions = table(spark, sf_dir, "person_mentions").select(F.col("mention_id").alias("id"), plain_accession(F.col("accession_number")).alias("filing"), F.array("name").alias("names"), F.col("start_date").alias("date"))
+    nodes = table(spark, sf_dir, "person_nodes").select(
+        F.col("node_id").alias("id"), padded_cik(F.col("cik")).alias("company"), F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>"))).alias("names"), F.date_format("tenure_start", "yyyy-MM-dd").alias("date")
+    )
+    return mentions.join(filings, "filing").select("id", "company", "names", "date").unionByName(nodes.select("id", "company", "names", "date"))
+
+
+def p1_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.resolve(_name_records(spark, sf_dir))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.linked_pairs(p1_entities(spark, sf_dir))
+
+
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(kind, item_key, text): sections by id and chunks by chunk_id."""
     sections = table(spark, sf_dir, "filing_sections").select(F.lit("section").alias("kind"), F.col("id").cast("string").alias("item_key"), F.col("markdown").alias("text"))
@@ -70,7 +88,7 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", _pack_specs(spark, sf_dir)).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p4_found, p5_found, p5_classes, p6_containers, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p3_pieces, p4_found, p5_found, p5_classes, p6_containers, p7_found, p8_found)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
