@@ -259,7 +259,7 @@ def neighbours(
     n = unit.count()
     per = log(VALUES_PER_FUNCTION)
     m = max(2, round(log(max(2, n / bucket_rows)) / per))
-    coarse = min(m, max(1, int(log(max(1.1, n / 1500)) / per)))
+    coarse = min(m, max(1, int(log(max(1.1, n / 6000)) / per)))
     t = Tables(dim, tables, m, coarse, width, max(probes, 2**m), seed)
     crowded = unit.mapInArrow(_home_counts(t), "table bigint, cell bigint, n bigint").groupBy("table", "cell").agg(F.sum("n").alias("n")).where(F.col("n") > cell_rows)
     # no more than tables * n / cell_rows lines
