@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.plans import facts_wide, relational
+from filigree.plans import facts_wide, passages, quality, relational
 
-MODULES = [facts_wide, relational]
+MODULES = [facts_wide, passages, quality, relational]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
