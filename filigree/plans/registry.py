@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.plans import facts_wide, passages, quality, relational, search
+from filigree.plans import documents, facts_wide, passages, quality, relational, search
 
-MODULES = [facts_wide, passages, quality, relational, search]
+MODULES = [documents, facts_wide, passages, quality, relational, search]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
