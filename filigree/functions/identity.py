@@ -18,7 +18,7 @@ def ticker(col: Column) -> Column:
 
 def accession_year(col: Column) -> Column:
     """The year in a dashed accession number; two digits under 50 belong to this century. Without dashes: unknown."""
-    two = F.split(col, "-")[1].try_cast("int")
+    two = F.get(F.split(col, "-"), F.lit(1)).try_cast("int")
     return F.when(~F.contains(col, F.lit("-")) | two.isNull(), F.lit("unknown")).when(two < 50, (two + 2000).cast("string")).otherwise((two + 1900).cast("string"))
 
 

@@ -54,7 +54,7 @@ def src_unprocessed_queue(t: Tables) -> DataFrame:
 ) where length(alias) > 2""")
 def src_company_aliases(t: Tables) -> DataFrame:
     named = t.companies.where("ticker is not null and company_name is not null")
-    alias = F.explode(F.array(F.lower("ticker"), F.lower("company_name"), F.lower(F.split("company_name", " ")[0]))).alias("alias")
+    alias = F.explode(F.array(F.lower("ticker"), F.lower("company_name"), F.lower(F.get(F.split("company_name", " "), F.lit(0))))).alias("alias")
     return named.select("ticker", alias).where(F.length("alias") > 2).distinct()
 
 

@@ -50,7 +50,8 @@ def read_listings(spark: SparkSession, path: str, forms: list[str] | None = None
     rows = spark.read.schema(LISTING).json(path, multiLine=True)
     recent = "filings.recent."
     names = ["accessionNumber", "form", "filingDate", "reportDate", "primaryDocument", "primaryDocDescription", "acceptanceDateTime", "isXBRL", "isInlineXBRL"]
-    each = rows.select("cik", F.explode(F.arrays_zip(*[F.col(recent + n).alias(n) for n in names])).alias("f"))
+    kind = lambda n: "int" if n.startswith("is") else "string"
+    each = rows.select("cik", F.explode(F.arrays_zip(*[F.coalesce(recent + n, F.array().cast(f"array<{kind(n)}>")).alias(n) for n in names])).alias("f"))
     day = lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date")
     out = each.select(
         F.lpad("cik", 10, "0").alias("cik"), F.col("f.accessionNumber").alias("accession_number"), F.col("f.form").alias("form_type"), day(F.col("f.filingDate")).alias("filing_date"), day(F.col("f.reportDate")).alias("period_of_report"),
