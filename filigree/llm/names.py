@@ -77,6 +77,11 @@ def untyped(word: str) -> str:
     return word.replace("rn", "m").replace("vv", "w")
 
 
+def sounded(word: str) -> str:
+    """One form for spellings of a surname or a firm that sound alike."""
+    return word.replace("ph", "f").replace("ck", "k").replace("y", "i").replace("z", "s")
+
+
 def formal(given: str) -> set[str]:
     return _SHORT.get(given, {given})
 
@@ -98,7 +103,7 @@ def parse(name: str | None) -> tuple[str, str, str, str] | None:
         return None
     legal = [LEGAL[w] for w in words[1:] if w in LEGAL]
     if legal or joint or any(w in TRADES for w in words[1:]):
-        core = [untyped(w.replace("-", "")) for w in words if w not in LEGAL and w not in ("the", "and")]
+        core = [w if w in TRADES else sounded(untyped(w.replace("-", ""))) for w in words if w not in LEGAL and w not in ("the", "and")]
         return ("org", "".join(core), " ".join(core), legal[-1] if legal else "") if core else None
     suffix = next((SUFFIXES[w] for w in words if w in SUFFIXES), "")
     drop = HONORIFICS | DEGREES | SUFFIXES.keys()
@@ -114,7 +119,7 @@ def parse(name: str | None) -> tuple[str, str, str, str] | None:
         while rest and not surname:
             surname = [w for i, w in enumerate(rest) if i and len(w) > 1] or [rest[-1]]
             rest = [w for i, w in enumerate(rest) if i == 0 or len(w) == 1] if len(rest) > 1 else []
-    last = untyped("".join(surname).replace("-", "").replace("'", ""))
+    last = sounded(untyped("".join(surname).replace("-", "").replace("'", "")))
     if len(last) < 2:
         return None
     given = untyped(rest[0].replace("-", "")) if rest else ""
@@ -195,8 +200,8 @@ def keys_of(forms: list[tuple[str, str, str, str]], date: str) -> list[tuple[str
             spelled = {given, *(x for n in names if known(given) for x in (n, *SHORT_FORMS.get(n, "").split()))}
             out += [(f"g|{last}|{d}", STRONG, 0, suffix, mark) for x in spelled if len(x) > 3 for d in deletions(x)]
             letters = {given[0], *(n[0] for n in names)}
-            role, dated = (WEAK if mistyped(given) else CANDIDATE), levels[:1]
-            sorts = [f"i{x}" for x in letters] + ["s"] * (role == CANDIDATE)
+            role, dated = CANDIDATE, levels[:1]
+            sorts = [f"i{x}" for x in letters] + ["s"]
         elif kind == "initial":
             sorts, role, dated = [f"i{given[0]}"], WEAK, levels[:1]
             if last not in firm:
@@ -205,13 +210,16 @@ def keys_of(forms: list[tuple[str, str, str, str]], date: str) -> list[tuple[str
                     out += [(f"~s|{d}{x}", CANDIDATE, NEAR_DATED if x else NEAR, suffix, "") for d in near]
         else:
             sorts, role, dated = ["s"], WEAK, levels[:1]
-        if role == WEAK and kind != "full" and last in (firm if kind == "initial" else some):
+        if role == WEAK and last in (firm if kind == "initial" else some):
             continue
+        # a mistyped given name is looked up by its initial, and stands for its person where there is no better spelling
+        sure = "?" if kind == "full" and mistyped(given) else ""
         for s in sorts:
-            out.append((f"{s}|{last}", role, EXACT, suffix, "?" if kind == "full" and role == WEAK else ""))
-            out += [(f"{s}|{last}|{x}", role, EXACT_DATED, suffix, "") for x in dated]
-            out += [(f"~{s}|{d}", role, NEAR, suffix, "") for d in near]
-            out += [(f"~{s}|{d}|{x}", role, NEAR_DATED, suffix, "") for d in near for x in dated]
+            for as_ in (role, WEAK) if sure and s != "s" else (role,):
+                out.append((f"{s}|{last}", as_, EXACT, suffix, sure))
+                out += [(f"{s}|{last}|{x}", as_, EXACT_DATED, suffix, sure) for x in dated]
+                out += [(f"~{s}|{d}", as_, NEAR, suffix, sure) for d in near]
+                out += [(f"~{s}|{d}|{x}", as_, NEAR_DATED, suffix, sure) for d in near for x in dated]
     return list(dict.fromkeys(out))
 
 
@@ -247,12 +255,16 @@ def _round(keys: DataFrame, labels: DataFrame) -> DataFrame:
     """(profile, label, next): one merge; ``labels`` holds (profile, label, suffix), the suffix being that of the merged profile."""
     rows = keys.drop("suffix").join(labels, "profile")
     w = Window.partitionBy("key")
+    # spellings that are mistyped themselves follow only the others
     firm = F.col("role") < WEAK
+    good = firm & F.col("name").isNull()
+    doubtful = F.col("name").eqNullSafe("?") & (F.col("role") == WEAK)
     strong = F.when(F.col("role") == STRONG, F.col("label"))
     view = rows.select(
         "profile", "label", "key", "role", "rung", "suffix", "dated", "name",
         F.min("label").over(w).alias("all_lo"),
-        F.min(F.when(firm, F.col("label"))).over(w).alias("lo"), F.max(F.when(firm, F.col("label"))).over(w).alias("hi"),
+        F.when(doubtful, F.min(F.when(good, F.col("label"))).over(w)).otherwise(F.min(F.when(firm, F.col("label"))).over(w)).alias("lo"),
+        F.when(doubtful, F.max(F.when(good, F.col("label"))).over(w)).otherwise(F.max(F.when(firm, F.col("label"))).over(w)).alias("hi"),
         F.max(F.when(firm, F.col("dated"))).over(w).alias("any_dated"),
         F.min("suffix").over(w).alias("s_lo"), F.max("suffix").over(w).alias("s_hi"),
         F.min(F.when(F.col("role") == STRONG, F.col("name"))).over(w).alias("n_lo"), F.max(F.when(F.col("role") == STRONG, F.col("name"))).over(w).alias("n_hi"),

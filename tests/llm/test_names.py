@@ -9,8 +9,8 @@ from filigree.llm import names as N
     "name,parsed",
     [
         ("Mr. Daniel J. Rasoswell Sr.", ("full", "rasoswell", "daniel", "sr")), ("RASOSWELL, SR., DAN J.", ("full", "rasoswell", "dan", "sr")), ("Harshaw III, Marta R", ("full", "harshaw", "marta", "3")),
-        ("M. R. Harshaw, CPA", ("initial", "harshaw", "m", "")), ("Dr. Harshaw", ("surname", "harshaw", "", "")), ("Edward R. Orrwell Quilley", ("full", "orrwellquilley", "edward", "")),
-        ("Orrwell-Quilley, Edward", ("full", "orrwellquilley", "edward", "")), ("Unknown", None), ("N/A", None), ("the Company", None), (None, None), ("  ", None), ("1234", None), ("Mr.", None),
+        ("M. R. Harshaw, CPA", ("initial", "harshaw", "m", "")), ("Dr. Harshaw", ("surname", "harshaw", "", "")), ("Edward R. Orrwell Quilley", ("full", "orrwellquillei", "edward", "")),
+        ("Orrwell-Quilley, Edward", ("full", "orrwellquillei", "edward", "")), ("Unknown", None), ("N/A", None), ("the Company", None), (None, None), ("  ", None), ("1234", None), ("Mr.", None),
         ("Alexandra Istishlow, Ph.D.", ("full", "istishlow", "alexandra", "")),
     ],
 )
