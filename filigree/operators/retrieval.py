@@ -89,6 +89,7 @@ def lexical_rerank(chunks: DataFrame, question: str) -> Callable[[DataFrame], Da
 
 def multi_hop(seeds: DataFrame, edges: DataFrame, hops: int = 2, keep: int = KEEP, per_seed: int = 15, total: int = 30, least_weight: float = 0.4) -> DataFrame:
     """(id, score, hop): seeds (id, score) and what lies up to ``hops`` away, the heaviest kept at each hop, scores decaying by hop."""
+    edges = stage(edges.select("src", "dst", "weight"), label="hop-edges")
     found = seeds.select("id", "score", F.lit(0).alias("hop")).orderBy(F.desc("score"), "id").limit(SEEDS)
     frontier, visited = found.select("id"), found.select("id")
     for hop in range(1, hops + 1):

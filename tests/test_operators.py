@@ -281,3 +281,20 @@ def test_empty_inputs_everywhere(spark, tmp_path):
     nodes = spark.createDataFrame([], "id string, filing string, owner string, year int, section string, position int")
     assert passages.merged([passages.sequential(nodes), passages.temporal(nodes)]).count() == 0
     assert upsert.duplicate_groups(nodes, ["id"]).count() == 0
+
+
+def test_similarity_and_metrics(spark):
+    from filigree.functions import similarity
+    from filigree.operators import metrics
+
+    r = spark.range(1).select(similarity.ratio(F.lit("abcdefghij"), F.lit("abcdefghix")), similarity.ratio(F.lit(""), F.lit(""))).first()
+    assert tuple(r) == (90, 100)
+    df = spark.createDataFrame([(["a", "b"],), (["b", "a"],), ([],), (None,)], "w array<string>").select(similarity.hashed_embedding(F.col("w"), 8).alias("v")).collect()
+    assert df[0].v == df[1].v and abs(sum(x * x for x in df[0].v) - 1) < 1e-6 and df[2].v is None and df[3].v is None
+    facts = spark.createDataFrame([("o", "A", 1.0, 2020, None, 1), ("o", "B", 2.0, 2020, None, 2), ("o", "A", None, 2021, None, 3), ("o", "B", 5.0, 2021, None, 4)], "owner string, concept_name string, value double, fiscal_year int, fiscal_quarter int, id bigint")
+    maps = spark.createDataFrame([("m", "A", 1, 1.0), ("m", "B", 2, 0.5)], "metric_id string, concept_name string, priority int, confidence double")
+    n = metrics.normalize(facts, maps)
+    assert _rows(n, "fiscal_year", "metric_value") == [(2020, 1.0), (2021, 5.0)]
+    assert metrics.lookup(n, year=0, owner="").count() == 2 and metrics.lookup(n, year=2021).count() == 1
+    owners = spark.createDataFrame([("o",), ("p",)], "owner string")
+    assert {r.owner: r.metric_value for r in metrics.compare(n, owners, "m").collect()} == {"o": 5.0, "p": None}
