@@ -134,6 +134,11 @@ def _home_counts(t: Tables):
 def _scatter(t: Tables, hot: dict[tuple[int, int], int]):
     """Rows (table, cell, s, u, entry, query, class, vector): block s of the cell's entries meets block u of its queries."""
 
+    crowded = []
+    for n in range(t.tables):
+        cells = sorted((c, size) for (table, c), size in hot.items() if table == n)
+        crowded.append((np.array([c for c, _ in cells], np.int64), np.array([size for _, size in cells], np.int64)))
+
     def work(batches):
         tables, sets = t.make(), t.sets()
         for b in batches:
@@ -150,20 +155,20 @@ def _scatter(t: Tables, hot: dict[tuple[int, int], int]):
                 cell = cells[row, col]
                 own = cell == home[row]
                 blocks = np.ones(len(row), np.int64)
-                if any(k[0] == n for k in hot):
-                    for (_, c), size in ((k, v) for k, v in hot.items() if k[0] == n):
-                        blocks[cell == c] = size
+                if len(names := crowded[n][0]):
+                    j = np.minimum(np.searchsorted(names, cell), len(names) - 1)
+                    blocks = np.where(names[j] == cell, crowded[n][1][j], 1)
                 mine = (spread[row] % blocks.astype(np.uint64)).astype(np.int64)
-                # where blocks are many, an entry goes to all blocks of queries and a query to all blocks of entries
                 plain = np.flatnonzero(blocks == 1)
                 parts = [(row[plain], cell[plain], mine[plain], mine[plain], own[plain], np.ones(len(plain), bool))]
-                for i in np.flatnonzero(blocks > 1):
-                    k = np.arange(blocks[i])
-                    r, c, o = np.full(len(k), row[i]), np.full(len(k), cell[i]), np.full(len(k), mine[i])
-                    parts.append((r, c, k, o, (k == mine[i]) & own[i], np.ones(len(k), bool)))
-                    if own[i]:
-                        k = k[k != mine[i]]
-                        parts.append((r[: len(k)], c[: len(k)], o[: len(k)], k, np.ones(len(k), bool), np.zeros(len(k), bool)))
+                # where blocks are many, a query goes to all blocks of entries and an entry to all blocks of queries
+                many = np.repeat(np.flatnonzero(blocks > 1), blocks[blocks > 1])
+                if len(many):
+                    k = np.arange(len(many)) - np.repeat(np.cumsum(blocks[blocks > 1]) - blocks[blocks > 1], blocks[blocks > 1])
+                    here = k == mine[many]
+                    parts.append((row[many], cell[many], k, mine[many], here & own[many], np.ones(len(many), bool)))
+                    else_ = many[~here & own[many]]
+                    parts.append((row[else_], cell[else_], mine[else_], k[~here & own[many]], np.ones(len(else_), bool), np.zeros(len(else_), bool)))
                 row, cell, s, u, entry, query = (np.concatenate(v) for v in zip(*parts))
                 yield pa.record_batch(
                     [pa.array(np.full(len(row), n), pa.int64()), pa.array(cell), pa.array(s), pa.array(u), pa.array(entry), pa.array(query), pa.array(cls[row]), b.column("vector").take(pa.array(row))],
