@@ -291,7 +291,7 @@ def _round(keys: DataFrame, labels: DataFrame) -> DataFrame:
     exact = F.when(unique(EXACT) & ~veto, F.col("lo0")).when(unique(EXACT_DATED), F.col("lo1"))
     near = F.when(unique(NEAR) & ~veto, F.col("lo2")).when(unique(NEAR_DATED), F.col("lo3"))
     to = F.when(F.col("lo0").isNotNull(), exact).when(F.col("lo2").isNotNull(), near).otherwise(F.col("alone"))
-    by_weak = one.where(F.col("suits")).select("label", to.alias("to")).where("to is not null")
+    by_weak = one.where(F.coalesce("suits", F.lit(True))).select("label", to.alias("to")).where("to is not null")
     # the two profiles of a link both move to the lesser label
     links = by_strong.unionByName(by_weak).unionByName(by_weak.select(F.col("to").alias("label"), F.col("label").alias("to"))).where("to < label")
     moves = links.groupBy("label").agg(F.min("to").alias("to"))
@@ -304,15 +304,24 @@ def _follow(moved: DataFrame) -> DataFrame:
     return moved.join(jump, "next", "left").select("profile", "label", F.coalesce("beyond", "next").alias("next"))
 
 
+def _telling(keys: DataFrame) -> DataFrame:
+    """Without the keys of a single profile, and of keys that hold the same spellings in the same roles all but one: most names have a dozen such."""
+    keys = stage(keys, label="all-keys")
+    content = [F.bit_xor(F.xxhash64("profile", "role", "rung", "suffix", "name", F.lit(seed))).alias(f"h{seed}") for seed in (0, 1)]
+    groups = keys.groupBy("key").agg(F.min("profile").alias("lo"), F.max("profile").alias("hi"), F.count("*").alias("n"), *content).where("lo <> hi")
+    one = groups.groupBy("n", "h0", "h1").agg(F.min("key").alias("key")).select("key")
+    return stage(keys.join(one, "key", "left_semi"), label="telling-keys")
+
+
 def resolve(records: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(id, entity): records (id bigint, company string, names array<string>, date string) that mean the same have one entity."""
     bound_batches(records.sparkSession)
     usable = records.where("id is not null and company is not null").select("id", "company", "names", "date").distinct()
     rows = stage(usable.mapInArrow(_profiles, "id bigint, profile bigint, key bigint, role int, rung int, suffix string, name string, dated boolean"), label="name-keys")
     members = rows.select("id", "profile").distinct()
-    keys = stage(rows.drop("id").distinct(), label="profile-keys")
+    keys = _telling(rows.drop("id").distinct())
     # a profile's own suffix; of more than one none counts
-    own = keys.groupBy("profile").agg(F.min("suffix").alias("lo"), F.max("suffix").alias("hi")).select("profile", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("own"))
+    own = rows.groupBy("profile").agg(F.min("suffix").alias("lo"), F.max("suffix").alias("hi")).select("profile", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("own"))
     labels = stage(own.select("profile", F.col("profile").alias("label"), "own", F.col("own").alias("suffix")), label="labels")
     for _ in range(max_rounds):
         moved = _follow(_round(keys, labels.select("profile", "label", "suffix")))
