@@ -10,6 +10,7 @@ from filigree.functions import text
 from filigree.operators import graph, passages
 from filigree.plans.catalog import Catalog, Tables
 from filigree.plans.relational import _FILINGS_SQL, filed, plain
+from filigree.runtime import stage
 
 catalog = Catalog()
 query = catalog.query
@@ -85,7 +86,7 @@ def pg_cooccurrence(t: Tables) -> DataFrame:
 
 
 def local_edges(t: Tables) -> DataFrame:
-    n = nodes(t)
+    n = stage(nodes(t), label="passage-nodes")  # read by four builders
     return passages.merged([passages.sequential(n), passages.section_heads(n), passages.temporal(n), passages.cooccurrence(n, mentioned(t, n))])
 
 
@@ -102,7 +103,7 @@ def pg_edges(t: Tables) -> DataFrame:
 @query(f"""with {_ALL_CTE}, d as (select id, count(e) as degree from nodes left join (select src as e from edges union all select dst from edges) on e = id group by 1)
     select count(*) as nodes, round(avg(degree), 6) as average_degree, max(degree) as max_degree, count(case when degree = 0 then 1 end) as isolated, (select count(*) from edges) as edges from d""")
 def pg_statistics(t: Tables) -> DataFrame:
-    return graph.statistics(nodes(t), local_edges(t))
+    return graph.statistics(nodes(t), stage(local_edges(t), label="passage-edges"))
 
 
 @query(f"with {_ALL_CTE} select type, count(*) as n from edges group by 1")
