@@ -348,8 +348,11 @@ class Finder:
             d = diagonal[a:z]
             # hits of one stretch lie on diagonals no further apart than its edits
             reach = np.searchsorted(d, d + passage.edits + 2, "right") - np.arange(z - a)
-            if reach.max() < need and (reach.max() < few or z - a < 2 * need):
-                continue
+            most = reach.max()
+            if most < need:
+                # only several stretches can do; edits of one word in ten leave half of the shingles, less those across their ends
+                if most < few or z - a < 2 * need or len(np.unique(place[a:z])) < 0.35 * len(passage.ids) - passage.width:
+                    continue
             text = ids[starts[doc] : starts[doc + 1] - 1]
             if leaks(passage, text, place[a:z], d + place[a:z]):
                 yield doc, p
