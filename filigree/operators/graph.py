@@ -83,3 +83,23 @@ def expand(frontier: DataFrame, edges: DataFrame, visited: DataFrame, per_seed:
     ranked = near.withColumn("n", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("weight"), "dst"))).where(F.col("n") <= per_seed)
     best = ranked.groupBy(F.col("dst").alias("id")).agg(F.max("weight").alias("weight"), F.min_by("src", F.struct(-F.col("weight"), F.col("src"))).alias("seed"))
     return best.orderBy(F.desc("weight"), "id").limit(total)
+
+
+def community_relations(labels: DataFrame, edges: DataFrame, most: int = 200) -> DataFrame:
+    """(community, type, n): edges within each community by type, the ``most`` frequent of each."""
+    a, b = labels.withColumnsRenamed({"id": "src", "community": "c"}), labels.withColumnsRenamed({"id": "dst", "community": "d"})
+    inside = edges.join(a, "src").join(b, "dst").where("c = d").groupBy(F.col("c").alias("community"), "type").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("community").orderBy(F.desc("n"), "type")
+    return inside.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).drop("r")
+
+
+def match_path(nodes: DataFrame, edges: DataFrame, labels: list[str], types: list[str]) -> DataFrame:
+    """(n0, n1, ...): paths whose nodes have the given labels, joined by edges of the given types, one fewer than the labels."""
+    if len(types) != len(labels) - 1:
+        raise ValueError("one type for each step")
+    out = nodes.where(F.col("label") == labels[0]).select(F.col("id").alias("n0"))
+    for i, (label, kind) in enumerate(zip(labels[1:], types)):
+        step = edges.where(F.col("type") == kind).select(F.col("src").alias(f"n{i}"), F.col("dst").alias(f"n{i + 1}"))
+        ends = nodes.where(F.col("label") == label).select(F.col("id").alias(f"n{i + 1}"))
+        out = out.join(step, f"n{i}").join(ends, f"n{i + 1}")
+    return out.select(*[f"n{i}" for i in range(len(labels))])

@@ -104,3 +104,26 @@ def quota(hits: DataFrame, owner: str, companies: int, whole: int = 10, floor: i
     """At most ``max(floor, whole // companies)`` hits of each owner."""
     most = max(floor, whole // max(1, companies))
     return hits.withColumn("n", F.row_number().over(Window.partitionBy(owner).orderBy(F.desc("score"), "id"))).where(F.col("n") <= most).drop("n")
+
+
+def in_section(hits: DataFrame, chunks: DataFrame, section: str, k: int) -> DataFrame:
+    """The first k hits whose section has the given name, blanks and underscores alike, whatever the case; fetch three times as many before."""
+    name = lambda c: F.lower(F.trim(F.regexp_replace(c, "[_ ]+", " ")))
+    own = chunks.where(name(F.col("section_item")) == name(F.lit(section))).select("id")
+    return hits.join(own, "id", "left_semi").orderBy(F.desc("score"), "id").limit(k)
+
+
+def allocate(executives: DataFrame, summaries: DataFrame, risks: DataFrame, k: int) -> DataFrame:
+    """Rows (content, score, place) of three kinds share k slots: one for executives, up to five for summaries, at least half for risks; in that order."""
+    take = {"executive": (executives, 1), "summary": (summaries, min(5, k)), "risk": (risks, max(k - 1 - min(5, k), k // 2))}
+    parts = []
+    for turn, (kind, (rows, most)) in enumerate(take.items()):
+        first = rows.orderBy(F.desc("score"), "content").limit(most)
+        parts.append(first.select("content", "score", F.lit(kind).alias("kind"), F.lit(turn).alias("turn")))
+    return reduce(DataFrame.unionByName, parts).orderBy("turn", F.desc("score"), "content").limit(k).drop("turn")
+
+
+def formatted(hits: DataFrame, chunks: DataFrame, chars: int = 300) -> DataFrame:
+    """(id, line): each hit with its score and the beginning of its text."""
+    text = F.substring(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " "), 1, chars)
+    return hits.join(chunks.select("id", "text"), "id").select("id", F.format_string("[%s] score=%.3f %s", "id", "score", text).alias("line"))
