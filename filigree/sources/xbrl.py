@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import xml.etree.ElementTree as ET
 from decimal import Decimal, InvalidOperation
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,6 +21,26 @@ FACT = (
 STANDARD = ("us-gaap", "dei")
 
 
+# What a role's name holds, in the order of the tests, and the statement it then belongs to.
+SECTIONS = {
+    "IncomeStatement": "IncomeStatement", "OFOPERATIONS": "IncomeStatement", "Operations": "IncomeStatement", "ComprehensiveIncome": "IncomeStatement",
+    "BalanceSheet": "BalanceSheet", "FinancialPosition": "BalanceSheet", "OFFINANCIALPOSITION": "BalanceSheet",
+    "CashFlow": "CashFlowStatement", "OFCASHFLOWS": "CashFlowStatement", "CashFlows": "CashFlowStatement",
+    "Equity": "StockholdersEquity", "OFSTOCKHOLDERSEQUITY": "StockholdersEquity", "StockholdersEquity": "StockholdersEquity",
+    "FinancialInstruments": "FinancialInstruments", "FairValue": "FairValue", "Debt": "Debt", "Leases": "Leases", "Commitments": "Commitments",
+    "IncomeTaxes": "IncomeTaxes", "Taxes": "IncomeTaxes", "SegmentReporting": "Segments", "Segments": "Segments", "CoverPage": "CoverPage", "DocumentAndEntityInformation": "CoverPage",
+}
+
+
+def section_of(role: Column) -> Column:
+    """The statement that a role names by the last part of its address; a name of none of them stays, without the usual words; no role is Other."""
+    name = F.regexp_extract(F.rtrim(role, F.lit("/")), r"([^/]*)$", 1)
+    name = F.regexp_replace(F.regexp_replace(name, "role|Role|CONSOLIDATED|Consolidated", ""), "STATEMENTS|Statements|Statement", "")
+    known = reduce(lambda w, kv: w.when(F.lower(name).contains(kv[0].lower()), kv[1]), list(SECTIONS.items())[1:], F.when(F.lower(name).contains("incomestatement"), "IncomeStatement"))
+    rest = F.regexp_replace(name, "^[_-]+|[_-]+$", "")
+    return F.when(F.coalesce(role, F.lit("")) == "", "Other").otherwise(known.otherwise(F.when(rest == "", "Other").otherwise(rest)))
+
+
 def _local(tag: str) -> str:
     return tag.rpartition("}")[2]
 

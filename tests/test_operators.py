@@ -158,6 +158,12 @@ def test_xbrl(spark, tmp_path):
     assert xbrl.read_facts(files.where("path like '%broken%'")).count() == 0
 
 
+def test_role_sections(spark):
+    roles = ["http://x/role/CONSOLIDATEDSTATEMENTSOFOPERATIONS", "http://x/role/StatementOfFinancialPositionClassified", "http://x/role/CASHFLOWS/", "http://x/role/DebtDetails", "http://x/role/_Odd_", "", None]
+    df = spark.createDataFrame([(r,) for r in roles], "r string").select(xbrl.section_of(F.col("r")))
+    assert [r[0] for r in df.collect()] == ["IncomeStatement", "BalanceSheet", "CashFlowStatement", "Debt", "Odd", "Other", "Other"]
+
+
 # graphs
 
 
