@@ -316,7 +316,9 @@ def _telling(keys: DataFrame) -> DataFrame:
 def resolve(records: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(id, entity): records (id bigint, company string, names array<string>, date string) that mean the same have one entity."""
     bound_batches(records.sparkSession)
-    usable = records.where("id is not null and company is not null").select("id", "company", "names", "date").distinct()
+    usable = records.where("id is not null and company is not null").select("id", "company", "names", "date")
+    # few bytes become many keys: the number of tasks is named, lest it follow the bytes
+    usable = usable.repartition(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id").distinct()
     rows = stage(usable.mapInArrow(_profiles, "id bigint, profile bigint, key bigint, role int, rung int, suffix string, name string, dated boolean"), label="name-keys")
     members = rows.select("id", "profile").distinct()
     keys = _telling(rows.drop("id").distinct())
