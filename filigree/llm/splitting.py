@@ -2,9 +2,10 @@
 
 A text is worked on in ranges. The worker of a range sees it with a halo on
 both sides, finds the word gaps and grades them (heading, paragraph, line,
-sentence, word), and owns what lies between the first good boundary at or
-after the nominal start and the one at or after the nominal end; neighbours
-find the same boundary in the halo that both of them see. It cuts its part
+sentence, word), and owns what lies between the best boundary in the halo after
+the nominal start and the one in the halo after the nominal end; neighbours
+find the same boundary, as they look at nothing beyond the halo that both of
+them see. It cuts its part
 into pieces given by offsets. The boundary tables of the ranges are then
 stitched: prefix sums of their lengths give every piece its number and offset
 in the whole text, and their total says whether the text is over the limit at
@@ -139,10 +140,19 @@ def cut(n: int, grade: np.ndarray, room: int, overlap: int, least: int, before:
         at = end
 
 
-def _line_up(words: Words, first: int, last: int, nominal: int) -> int:
-    """The first word at or after byte ``nominal`` that has the best grade found there."""
-    k = first + int(np.searchsorted(words.starts[first:last], nominal))
-    g = words.grade[k:last]
+def _line_up(words: Words, chars: np.ndarray, first: int, last: int, here: int, nominal: int, halo: int) -> int:
+    """The first word of the best grade in the halo after character ``nominal`` of the view that begins at byte ``here``.
+
+    Both neighbours see ``halo`` characters on either side of ``nominal`` and go
+    by nothing else. Where no word begins in the halo, the next word is the
+    boundary; so is the first word where nothing ends in the halo before it,
+    as the right neighbour can't grade its gap.
+    """
+    zero = chars[here]
+    k, stop = (first + int(np.searchsorted(chars[words.starts[first:last]] - zero, x)) for x in (nominal, nominal + halo))
+    if k == first or chars[words.ends[k - 1]] - zero < nominal - halo + 2:
+        return k
+    g = words.grade[k:stop]
     for least in (3, 2, 1):
         hits = np.flatnonzero(g >= least)
         if len(hits):
@@ -153,8 +163,8 @@ def _line_up(words: Words, first: int, last: int, nominal: int) -> int:
 PIECE = "config_name string, part bigint, piece bigint, start_char bigint, end_char bigint, start_word bigint, end_word bigint, overlap_words bigint, boundary string"
 
 
-def _pieces(configs: list[Config], with_text: bool, ranged: bool):
-    """Worker over rows (id, text) or, if ranged, (id, part, base, left, own, more, text)."""
+def _pieces(configs: list[Config], with_text: bool, ranged: bool, halo: int = HALO):
+    """Worker over rows (id, text) or, if ranged, (id, part, base, left, own, more, text) with ``halo`` on both sides."""
     limits = [(c.name, c.words(c.max_tokens), c.words(c.overlap_tokens), c.words(c.min_tokens)) for c in configs]
 
     def work(batches):
@@ -184,11 +194,10 @@ def _pieces(configs: list[Config], with_text: bool, ranged: bool):
                 if ranged:
                     p = part[i]
                     here = int(offsets[i])
-                    origin = int(chars[here])
                     if p:
-                        first = _line_up(w, a, z, here + int(np.searchsorted(chars[here : offsets[i + 1]] - origin, left[i])))
+                        first = _line_up(w, chars, a, z, here, left[i], halo)
                     if more[i]:
-                        last = _line_up(w, a, z, here + int(np.searchsorted(chars[here : offsets[i + 1]] - origin, left[i] + own[i])))
+                        last = _line_up(w, chars, a, z, here, left[i] + own[i], halo)
                     shift = base[i] - left[i]
                     # the range's line of the boundary table: its words, and nothing else
                     index.append(i)
@@ -248,7 +257,7 @@ def split(df: DataFrame, keys: list[str], text: str, configs: list[Config], with
     named = F.struct("id", "row").alias("id")
     cut_up = cut_up.select(named, "part", "base", "left", "own", "more", "text").repartition("id", "part")
     shape = f"id {cut_up.schema['id'].dataType.simpleString()}, {PIECE}" + ", piece_text string" * with_text
-    whole = _stitched(cut_up.mapInArrow(_pieces(configs, with_text, True), shape), configs, extra).withColumn("id", F.col("id.id"))
+    whole = _stitched(cut_up.mapInArrow(_pieces(configs, with_text, True, halo), shape), configs, extra).withColumn("id", F.col("id.id"))
     return small.unionByName(whole).select("id.*", "config_name", "piece", "start_char", "end_char", "start_word", "end_word", "overlap_words", "boundary", *extra)
 
 
@@ -272,7 +281,7 @@ def split_files(spark: SparkSession, paths: str | list[str], configs: list[Confi
     files = spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("size")).where("size > 0")
     part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / range_bytes).cast("bigint"))).alias("part")
     ranges = files.select("path", "size", part).repartition("path", "part")
-    cutter = _pieces(configs, with_text, True)
+    cutter = _pieces(configs, with_text, True, halo)
 
     def read(batches):
         from pyarrow import fs

@@ -100,3 +100,32 @@ def test_files_by_ranges(spark, tmp_path):
             self.__dict__.update(r.asDict(), key=1)
 
     _check([Row(r) for r in rows], {1: text}, configs, byte=True)
+
+
+#: Better breaks only beyond the halo of a cut, none at all for a while, blanks longer than the halo, words about as long.
+UNEVEN = {
+    1: "a bc def\n" * 30 + "\n" + "a bc def\n" * 40, 2: "ab cd. " * 30 + "\n\n# x " + "ab cd. " * 40, 3: "ab " * 60 + "cd. ef\n" * 5 + "gh " * 90, 4: ("ab cd" + " " * 150) * 6, 5: " " * 90 + "ab cd\n" * 9 + "\n" * 170 + "é. ï " * 50,
+    6: ("x" * 35 + " ab\n") * 20, 7: "\n".join("中文 " * (i % 7) + "y" for i in range(90)),
+}
+
+
+@pytest.mark.parametrize("range_chars,halo", [(200, 40), (100, 40), (64, 40), (150, 100)])
+def test_neighbours_share_a_boundary(spark, range_chars, halo):
+    c = S.Config("c", 8, 2, 2)
+    got = S.split(_table(spark, UNEVEN), ["key"], "text", [c], range_chars=range_chars, halo=halo).collect()
+    for key, text in UNEVEN.items():
+        words = [m.span() for m in re.finditer(r"[^ \t\r\n]+", text)]
+        own = sorted((p for p in got if p.key == key), key=lambda p: p.piece)
+        new = [w for p in own for w in words[p.start_word + p.overlap_words : p.end_word]]
+        assert new == words
+        for p in own:
+            assert p.piece_text == text[p.start_char : p.end_char] and (p.start_char, p.end_char) == (words[p.start_word][0], words[p.end_word - 1][1])
+
+
+def test_files_with_distant_blank_lines(spark, tmp_path):
+    text = ("wörd wörd\n" * 300 + "\n") * 3
+    (tmp_path / "big.txt").write_bytes(text.encode())
+    got = S.split_files(spark, str(tmp_path), [S.Config("c", 40, 6, 5)], range_bytes=2048, halo=256).orderBy("piece").collect()
+    assert got[-1].end_word == len(text.split()) and all(b.start_word + b.overlap_words == a.end_word for a, b in zip(got, got[1:]))
+    assert all(text.encode()[p.start_char : p.end_char].decode() == p.piece_text for p in got)
+    assert all(b.start_char < a.end_char for a, b in zip(got, got[1:]))
