@@ -107,6 +107,15 @@ def kg_fuzzy_names(t: Tables) -> DataFrame:
     return pairs.select("cik", "a", "b", similarity.ratio(F.col("a"), F.col("b")).alias("ratio")).where("ratio >= 90")
 
 
+@query()
+def kg_similar_names(t: Tables) -> DataFrame:
+    """(type, a, b, ratio): all names of people (nodes, their other spellings, mentions) and of companies that agree by 90 percent within their type, whatever the company; ``kg_fuzzy_names`` is the smaller job its SQL names."""
+    nodes = t.person_nodes.select(F.explode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name"))
+    people = nodes.unionByName(t.person_mentions.select("name")).select(F.lit("PERSON").alias("type"), "name")
+    names = people.unionByName(t.companies.select(F.lit("ORG").alias("type"), F.col("company_name").alias("name")))
+    return similarity.close_names(names.select("type", F.lower(F.trim("name")).alias("name")).where("length(name) >= 2"))
+
+
 @query()
 def kg_community_summaries(t: Tables) -> DataFrame:
     """(cik, members, summary): the group around each company with a summary made by rule: how many of what, and the first names."""

@@ -207,6 +207,31 @@ def test_passage_edges(spark):
     assert _rows(passages.similar(links, nodes, both), "src", "dst", "weight") == [("fA0", "gB1", 0.81)]
 
 
+def test_close_names_against_all_pairs(spark):
+    import random
+
+    from filigree.functions import similarity
+
+    def ratio(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+        return round(200 * row[-1] / (len(a) + len(b)) + 1e-9)
+
+    rng = random.Random(3)
+    names = {"mr daniel j. zelulmont", "daniel j. zelulmont", "zelmon", "zelumon", "xzelmon", "é" * 70, "é" * 69 + "a", "ab", "ba", "a" * 300, "a" * 310}
+    for _ in range(60):
+        base = "".join(rng.choice("abcde né") for _ in range(rng.randint(4, 30))).strip() + "x"
+        names |= {base, base[1:], "q" + base, base[:3] + "zz" + base[3:], base[:2] + base[3:4] + base[2:3] + base[4:]}
+    rows = [("PERSON", n) for n in names] + [("ORG", "daniel j. zelulmon"), ("ORG", None), (None, "ab")]
+    got = _rows(similarity.close_names(spark.createDataFrame(rows, "type string, name string")), "type", "a", "b", "ratio")
+    want = sorted(("PERSON", a, b, ratio(a, b)) for a in names for b in names if a < b and ratio(a, b) >= 90)
+    assert sorted(got) == want and len(want) > 50
+    assert ("PERSON", "zelmon", "zelumon", 92) in want and ("PERSON", "xzelmon", "zelmon", 92) in want
+
+
 # search
 
 
