@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from filigree.functions.text import cosine
 from filigree.operators import graph
-from filigree.runtime import stage
+from filigree.runtime import bound_batches, stage
 
 VECTOR_WEIGHT, KEYWORD_WEIGHT, GRAPH_WEIGHT = 0.7, 0.3, 0.5
 HOP_DECAY, KEEP, SEEDS = 0.85, 5, 10
@@ -34,6 +36,62 @@ def vector_search(chunks: DataFrame, vector: DataFrame, k: int = 20, least: floa
     return vector_scores(chunks, vector, least, where).orderBy(F.desc("score"), "id").limit(k)
 
 
+#: Numbers in a block of vectors; each pair of blocks is a row of work.
+BLOCK_NUMBERS = 1 << 20
+
+
+def _blocks(rows: DataFrame, key: str, vector: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """(size, name, name_s) with the vectors of a block that have a direction, and (size, name_n) with the number of blocks, by length of vector."""
+    rows = rows.where(cosine(F.col(vector), F.col(vector)).isNotNull()).select(F.col(key).alias("key"), F.col(vector).alias("v"), F.size(vector).alias("size"))
+    counts = rows.groupBy("size").agg(F.ceil(F.count("*") * F.col("size") / BLOCK_NUMBERS).alias(f"{name}_n"))
+    rows = rows.join(F.broadcast(counts), "size").withColumn(name, F.expr(f"pmod(xxhash64(key), {name}_n)"))
+    return rows.groupBy("size", name).agg(F.collect_list(F.struct("key", "v")).alias(f"{name}_s")), counts
+
+
+def nearest(queries: DataFrame, rows: DataFrame, k: int = 20, least: float | None = None) -> DataFrame:
+    """(query, id, score): the k rows (id, embedding) of the highest cosine for each of ``queries`` (query, vector), all rows looked at, ties by id.
+
+    Blocks of queries meet blocks of rows, each pair a task that keeps its best
+    k of each query; scores count to twelve places. Vectors of another length
+    or without direction are no hits, as for ``vector_scores``.
+    """
+    bound_batches(rows.sparkSession)
+    asked, a = _blocks(queries, "query", "vector", "q")
+    held, b = _blocks(rows, "id", "embedding", "r")
+    span = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    left = asked.join(F.broadcast(b), "size").select("size", "q", "q_s", span("r_n").alias("r"))
+    right = held.join(F.broadcast(a), "size").select("size", "r", "r_s", span("q_n").alias("q"))
+    pairs = left.join(right, ["size", "q", "r"]).select("size", F.col("q_s.key").alias("q"), F.col("q_s.v").alias("qv"), F.col("r_s.key").alias("r"), F.col("r_s.v").alias("rv"))
+
+    def unit(column, i, n):
+        v = column[i].values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, n)
+        return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+
+    def search(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                n = batch.column("size")[i].as_py()
+                q, r = unit(batch.column("qv"), i, n), unit(batch.column("rv"), i, n)
+                for at in range(0, len(q), 512):
+                    s = q[at : at + 512] @ r.T
+                    floor = np.full((len(s), 1), -2.0 if least is None else least)
+                    if len(r) > k and least is None:
+                        floor = np.partition(s, -k, axis=1)[:, [-k]]
+                    x, y = np.nonzero(s >= floor - 1e-11)
+                    if least is not None and len(x) > k * len(s):  # only the queries with more than k hits need a higher bound
+                        many = np.flatnonzero(np.bincount(x, minlength=len(s)) > k)
+                        floor[many] = np.maximum(floor[many], np.partition(s[many], -k, axis=1)[:, [-k]])
+                        x, y = np.nonzero(s >= floor - 1e-11)
+                    yield pa.record_batch([batch.column("q")[i].values.take(pa.array(x + at)), batch.column("r")[i].values.take(pa.array(y)), pa.array(np.round(s[x, y], 12))], ["query", "id", "score"])
+
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    hits = pairs.mapInArrow(search, f"query {kind(queries, 'query')}, id {kind(rows, 'id')}, score double")
+    if least is not None:
+        hits = hits.where(F.col("score") >= least)
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    return hits.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).drop("n")
+
+
 def terms(col: Column) -> Column:
     return F.filter(F.split(F.lower(col), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 

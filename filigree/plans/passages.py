@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from filigree.functions import text
-from filigree.operators import graph, passages
+from filigree.operators import graph, passages, retrieval
 from filigree.plans.catalog import Catalog, Tables
 from filigree.plans.relational import _FILINGS_SQL, filed, plain
 from filigree.runtime import stage
@@ -134,6 +134,29 @@ def pg_similar(t: Tables) -> DataFrame:
     return passages.similar(links, n, passages.sequential(n), least=0.1).withColumn("weight", F.round("weight", 6))
 
 
+def similar_edges(t: Tables, existing: DataFrame) -> DataFrame:
+    """Edges from each chunk to the five most similar of all others, whatever their filing, from cosine 0.60, where ``existing`` has none."""
+    v = chunks(t).select("chunk_id", "embedding")
+    # one more, as a chunk finds itself
+    links = retrieval.nearest(v.select(F.col("chunk_id").alias("query"), F.col("embedding").alias("vector")), v.withColumnRenamed("chunk_id", "id"), 6, least=0.60)
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    links = links.where("id <> query").withColumn("n", F.row_number().over(order)).where("n <= 5")
+    return passages.similar(links.select(F.col("query").alias("id"), F.col("id").alias("target"), "score"), nodes(t), existing)
+
+
+@query()
+def pg_similar_all(t: Tables) -> DataFrame:
+    """Similar edges over all filings; ``pg_similar`` is the smaller job its SQL names."""
+    return similar_edges(t, local_edges(t))
+
+
+@query()
+def pg_edges_all(t: Tables) -> DataFrame:
+    """The whole passage graph: the edges of ``pg_edges`` and the similar ones."""
+    local = stage(local_edges(t), label="passage-edges")
+    return local.unionByName(similar_edges(t, local))
+
+
 # Knowledge graph
 
 

@@ -235,6 +235,42 @@ def test_close_names_against_all_pairs(spark):
 # search
 
 
+def test_nearest_against_all_pairs(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    v = np.round(rng.normal(size=(90, 4)), 1)
+    v[10:20] = v[9]  # ties go by id
+    v[30] = 0
+    rows = [(f"r{i:03}", x.tolist()) for i, x in enumerate(v)] + [("null", None), ("long", [1.0] * 5)]
+    df = spark.createDataFrame(rows, "id string, embedding array<float>")
+    unit = v.astype(np.float32).astype(float)
+    norm = np.linalg.norm(unit, axis=1)
+    monkeypatch.setattr(retrieval, "BLOCK_NUMBERS", 100)
+    for k, least in ((7, None), (3, 0.6), (200, 0.9)):
+        got = {}
+        found = retrieval.nearest(df.select(F.col("id").alias("query"), F.col("embedding").alias("vector")), df, k, least)
+        for r in found.orderBy("query", F.desc("score"), "id").collect():
+            got.setdefault(r["query"], []).append(r["id"])
+        assert got.pop("long") == ["long"]
+        for i in range(90):
+            if not norm[i]:
+                assert f"r{i:03}" not in got
+                continue
+            score = np.round(unit @ unit[i] / np.where(norm > 0, norm, 1) / norm[i], 12)
+            want = sorted((-s, f"r{j:03}") for j, s in enumerate(score) if norm[j] and (least is None or s >= least))[:k]
+            assert got[f"r{i:03}"] == [x for _, x in want]
+
+
+def test_similar_edges_cross_filings(spark):
+    from filigree.plans import registry
+
+    data = "/root/testdata/sf0.01"
+    found = registry.queries()["pg_similar_all"](spark, data)
+    filing = lambda c: F.split(c, "_")[0]
+    assert found.where(filing("src") != filing("dst")).count() > 0 and found.where("weight < 0.54 - 1e-9").count() == 0
+
+
 def test_search(spark):
     rows = [("a", "red fox red", [1.0, 0.0]), ("b", "red dog", [0.9, 0.1]), ("c", "blue cat", [0.0, 1.0]), ("d", None, None), ("e", "", [0.0, 0.0])]
     chunks = spark.createDataFrame(rows, "id string, text string, embedding array<double>")
