@@ -115,6 +115,21 @@ def keyword_search(index: DataFrame, wanted: list[str], k: int = 20, k1: float =
     return top.join(F.broadcast(top.agg(F.max("raw").alias("best")))).select("id", (F.col("raw") / F.col("best")).alias("score"))
 
 
+def keyword_search_each(index: DataFrame, queries: DataFrame, k: int = 20, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(query, id, score): ``keyword_search`` for each of ``queries`` (query, text)."""
+    docs = index.select("id", "length").distinct().agg(F.count("*").alias("docs"), F.avg("length").alias("mean"))
+    wanted = queries.select("query", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+    hits = index.join(wanted.select("term").distinct(), "term", "left_semi")
+    df = hits.groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
+    weighed = hits.join(df, "term").join(F.broadcast(docs)).select("term", "id", weight.alias("weight"))
+    scored = weighed.join(wanted, "term").groupBy("query", "id").agg(F.sum("weight").alias("raw"))
+    order = Window.partitionBy("query").orderBy(F.desc("raw"), "id")
+    top = scored.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k)
+    return top.select("query", "id", (F.col("raw") / F.max("raw").over(Window.partitionBy("query"))).alias("score"))
+
+
 def merge_hits(hits: dict[str, DataFrame], weights: dict[str, float]) -> DataFrame:
     """(id, score, sources): scores weighted and summed over the sources that return a chunk, sources in the given order."""
     parts = [df.select("id", (F.col("score") * weights[s]).alias("score"), F.lit(s).alias("source"), F.lit(i).alias("turn")) for i, (s, df) in enumerate(hits.items())]

@@ -56,11 +56,46 @@ def vs_top_embeddings(t: Tables) -> DataFrame:
     return retrieval.vector_search(rows, probe, 20).select(F.col("id").alias("vec_id"), F.round("score", 9).alias("score"))
 
 
+def _probes(rows: DataFrame) -> DataFrame:
+    """The queries of a search: one row in a hundred, by a hash where ids are not numbers."""
+    numbers = dict(rows.dtypes)["id"] in ("int", "bigint")
+    place = F.col("id") if numbers else F.xxhash64("id")
+    return rows.where(F.pmod(place, F.lit(100)) == 0).select(F.col("id").alias("query"), F.col("embedding").alias("vector"))
+
+
+@query()
+def vs_top_embeddings_each(t: Tables) -> DataFrame:
+    """(query, id, score): ``vs_top_embeddings`` for every vec_id divisible by 100."""
+    rows = t.embeddings.select(F.col("vec_id").alias("id"), "embedding")
+    return retrieval.nearest(_probes(rows), rows, 20).withColumn("score", F.round("score", 9))
+
+
+@query()
+def vs_top_chunks_each(t: Tables) -> DataFrame:
+    """(query, id, score): ``vs_top_chunks`` for one chunk in a hundred."""
+    rows = _chunks(t).select("id", "embedding")
+    return retrieval.nearest(_probes(rows), rows, 20).withColumn("score", F.round("score", 9))
+
+
+@query()
+def vs_filtered_each(t: Tables) -> DataFrame:
+    """(query, id, score): ``vs_filtered`` for one chunk in a hundred of all sections."""
+    rows = _chunks(t).select("id", "embedding", "section_item")
+    return retrieval.nearest(_probes(rows), rows.where("section_item = '7'"), 10, least=0.1).withColumn("score", F.round("score", 9))
+
+
 @query(f"with {_CHUNKS_SQL}, {_BM25_SQL.replace('{k}', '20')} select id, round(score, 9) as score from keyword")
 def kw_bm25(t: Tables) -> DataFrame:
     return retrieval.keyword_search(retrieval.postings(_chunks(t)), _WORDS, 20).withColumn("score", F.round("score", 9))
 
 
+@query()
+def kw_bm25_each(t: Tables) -> DataFrame:
+    """(query, id, score): ``kw_bm25`` for every question of eval_items."""
+    questions = t.eval_items.select(F.col("item_id").alias("query"), F.col("question").alias("text"))
+    return retrieval.keyword_search_each(retrieval.postings(_chunks(t)), questions, 20).withColumn("score", F.round("score", 9))
+
+
 @query(f"with {_CHUNKS_SQL} select count(*) as documents, count(text) as with_text, count(section_title) as with_title, count(distinct section_item) as items from chunk")
 def kw_statistics(t: Tables) -> DataFrame:
     return chunks(t).agg(F.count("*").alias("documents"), F.count("text").alias("with_text"), F.count("section_title").alias("with_title"), F.countDistinct("section_item").alias("items"))

@@ -271,6 +271,26 @@ def test_similar_edges_cross_filings(spark):
     assert found.where(filing("src") != filing("dst")).count() > 0 and found.where("weight < 0.54 - 1e-9").count() == 0
 
 
+def test_vector_searches_for_every_query(spark):
+    from filigree.plans import registry
+
+    data = "/root/testdata/sf0.01"
+    each, one = (registry.queries()[n](spark, data).collect() for n in ("vs_top_embeddings_each", "vs_top_embeddings"))
+    ids = [r.vec_id for r in spark.read.parquet(f"{data}/embeddings.parquet").where("vec_id % 100 = 0").select("vec_id").collect()]
+    assert len(ids) > 1 and len(each) == 20 * len(ids) and {r["query"] for r in each} == set(ids)
+    assert sorted((r.id, r.score) for r in each if r["query"] == min(ids)) == sorted((r.vec_id, r.score) for r in one)
+
+
+def test_keyword_search_for_every_query(spark):
+    chunks = spark.createDataFrame([("a", "red fox red"), ("b", "red dog"), ("c", "blue cat")], "id string, text string")
+    index = retrieval.postings(chunks)
+    asked = {"q1": "RED dog red", "q2": "cat, blue", "q3": "absent"}
+    got = retrieval.keyword_search_each(index, spark.createDataFrame(list(asked.items()), "query string, text string"), 5).collect()
+    for q, words in asked.items():
+        want = retrieval.keyword_search(index, words.replace(",", "").split(), 5).collect()
+        assert sorted((r.id, round(r.score, 9)) for r in got if r["query"] == q) == sorted((r.id, round(r.score, 9)) for r in want)
+
+
 def test_search(spark):
     rows = [("a", "red fox red", [1.0, 0.0]), ("b", "red dog", [0.9, 0.1]), ("c", "blue cat", [0.0, 1.0]), ("d", None, None), ("e", "", [0.0, 0.0])]
     chunks = spark.createDataFrame(rows, "id string, text string, embedding array<double>")
