@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from filigree.llm import canonical, contamination, names, neardup, neighbors, packing, splitting, sql
-from filigree.runtime import padded_cik, plain_accession, table
+from filigree.runtime import padded_cik, plain_accession, shared_dir, table
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +81,35 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.where("piece = 0 and item_key is not null").select("kind", "item_key", "config_name").distinct()
 
 
+def p3_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each text over a limit: the words in its pieces, the pieces over the limit, the words left out or out of order between pieces, and the longest overlap."""
+    configs = _chunk_configs(spark, sf_dir)
+    texts = _texts(spark, sf_dir).where("item_key is not null").distinct().withColumn("digest", F.md5("text"))
+    pieces = splitting.split(texts, ["kind", "item_key", "digest"], "text", configs, with_text=False)
+    room = F.create_map(*[x for c in configs for x in (F.lit(c.name), F.lit(c.limits()[0]))])
+    words = F.col("end_word") - F.col("start_word")
+    of = Window.partitionBy("kind", "item_key", "digest", "config_name").orderBy("piece")
+    pieces = pieces.withColumn("before", F.coalesce(F.lag("end_word").over(of), F.lit(0)))
+    return pieces.groupBy("kind", "item_key", "digest", "config_name").agg(
+        F.sum(words - F.col("overlap_words")).alias("words"), F.count_if(words > room[F.col("config_name")]).alias("over"),
+        F.count_if(F.col("start_word") + F.col("overlap_words") != F.col("before")).alias("torn"), F.max("overlap_words").alias("overlap"),
+    )
+
+
+def p3_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sections as a few large files, split in byte ranges: the words in the pieces of each configuration, pieces over the limit, words between pieces."""
+    configs = _chunk_configs(spark, sf_dir)
+    folder = f"{shared_dir(spark)}/filigree-{spark.sparkContext.applicationId}/files-{uuid4().hex}"
+    table(spark, sf_dir, "filing_sections").where("markdown is not null").select("markdown").repartition(3).write.text(folder)
+    pieces = splitting.split_files(spark, f"{folder}/*.txt", configs, with_text=False, range_bytes=1 << 16)
+    room = F.create_map(*[x for c in configs for x in (F.lit(c.name), F.lit(c.limits()[0]))])
+    words = F.col("end_word") - F.col("start_word")
+    pieces = pieces.withColumn("before", F.coalesce(F.lag("end_word").over(Window.partitionBy("path", "config_name").orderBy("piece")), F.lit(0)))
+    return pieces.groupBy("config_name").agg(
+        F.sum(words - F.col("overlap_words")).alias("words"), F.count_if(words > room[F.col("config_name")]).alias("over"), F.count_if(F.col("start_word") + F.col("overlap_words") != F.col("before")).alias("torn")
+    )
+
+
 def _pack_specs(spark: SparkSession, sf_dir: str) -> list[packing.Spec]:
     rows = table(spark, sf_dir, "pack_specs").orderBy("capacity_tokens", "spec_name").collect()  # a fixed table of three rows
     return [packing.Spec(r.spec_name, r.capacity_tokens, r.separator_tokens or 0) for r in rows]
@@ -88,7 +119,7 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", _pack_specs(spark, sf_dir)).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p3_pieces, p4_found, p5_found, p5_classes, p6_containers, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p3_pieces, p3_cover, p3_files, p4_found, p5_found, p5_classes, p6_containers, p7_found, p8_found)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -12,6 +12,20 @@ ORACLES: dict[str, str] = {
         select distinct kind, item_key, config_name
         from sizes, chunk_configs
         where floor(words * tokens_per_word) > max_tokens""",
+    "p3_cover": r"""
+        with texts as (
+            select 'section' as kind, cast(id as varchar) as item_key, markdown as body from filing_sections
+            union all
+            select 'chunk', chunk_id, text from chunks
+        ), sizes as (
+            select distinct kind, item_key, md5(body) as digest, len(regexp_extract_all(body, '[^ \t\r\n]+')) as words from texts where item_key is not null and body is not null
+        )
+        select kind, item_key, digest, config_name, cast(words as bigint) as words, cast(0 as bigint) as over, cast(0 as bigint) as torn,
+            cast((select max(n) from range(1, 10000) t(n) where floor(n * tokens_per_word) <= overlap_tokens) as bigint) as overlap
+        from sizes, chunk_configs where floor(words * tokens_per_word) > max_tokens""",
+    "p3_files": r"""
+        select config_name, cast(sum(len(regexp_extract_all(markdown, '[^ \t\r\n]+'))) as bigint) as words, cast(0 as bigint) as over, cast(0 as bigint) as torn
+        from filing_sections, chunk_configs group by 1""",
     "p4_found": r"""
         with usable as (
             select chunk_id, any_value(embedding)::double[] as v from chunks

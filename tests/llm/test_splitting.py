@@ -50,21 +50,11 @@ def _table(spark, texts):
     return spark.createDataFrame([(k, t, "clash", 1) for k, t in texts.items()], "key bigint, text string, piece string, part int")
 
 
-@pytest.mark.parametrize("range_chars,halo", [(1 << 22, 1 << 18), (64, 40), (200, 100)])
-def test_round_trip(spark, range_chars, halo):
+@pytest.mark.parametrize("range_bytes", [1 << 22, 200, 64, 7])
+def test_round_trip(spark, range_bytes):
     configs = [C8, S.Config("d", 20, 5, 4, 1.33)]
-    got = S.split(_table(spark, TEXTS), ["key"], "text", configs, range_chars=range_chars, halo=halo).collect()
-    if halo >= 100:
-        _check(got, TEXTS, configs)
-    else:  # a halo may hold fewer words than the overlap asks for
-        for c in configs:
-            for key, text in TEXTS.items():
-                own = sorted((p for p in got if (p.key, p.config_name) == (key, c.name)), key=lambda p: p.piece)
-                assert bool(own) == bool(text and _size(text, c) > c.max_tokens)
-                done = 0
-                for p in own:
-                    assert _size(p.piece_text, c) <= c.max_tokens and p.start_word + p.overlap_words == done and p.piece_text == text[p.start_char : p.end_char]
-                    done = p.end_word
+    got = S.split(_table(spark, TEXTS), ["key"], "text", configs, range_bytes=range_bytes).collect()
+    _check(got, TEXTS, configs)
 
 
 def test_natural_boundaries_first(spark):
@@ -91,7 +81,7 @@ def test_files_by_ranges(spark, tmp_path):
     (tmp_path / "big.txt").write_bytes(text.encode())
     (tmp_path / "small.txt").write_text("a b c")
     configs = [S.Config("c", 40, 6, 5)]
-    got = S.split_files(spark, str(tmp_path), configs, range_bytes=4096, halo=1024).collect()
+    got = S.split_files(spark, str(tmp_path), configs, range_bytes=4096).collect()
     rows = [r for r in got if r.path.endswith("big.txt")]
     assert len(rows) == len(got)
 
@@ -109,23 +99,24 @@ UNEVEN = {
 }
 
 
-@pytest.mark.parametrize("range_chars,halo", [(200, 40), (100, 40), (64, 40), (150, 100)])
-def test_neighbours_share_a_boundary(spark, range_chars, halo):
-    c = S.Config("c", 8, 2, 2)
-    got = S.split(_table(spark, UNEVEN), ["key"], "text", [c], range_chars=range_chars, halo=halo).collect()
-    for key, text in UNEVEN.items():
-        words = [m.span() for m in re.finditer(r"[^ \t\r\n]+", text)]
-        own = sorted((p for p in got if p.key == key), key=lambda p: p.piece)
-        new = [w for p in own for w in words[p.start_word + p.overlap_words : p.end_word]]
-        assert new == words
-        for p in own:
-            assert p.piece_text == text[p.start_char : p.end_char] and (p.start_char, p.end_char) == (words[p.start_word][0], words[p.end_word - 1][1])
+@pytest.mark.parametrize("range_bytes,halo", [(200, 40), (64, 4), (5, 4), (1, 4)])
+def test_pieces_do_not_depend_on_ranges(spark, range_bytes, halo):
+    configs = [S.Config("c", 8, 2, 2), S.Config("least", 30, 0, 20)]
+    # texts above the range are cut in ranges
+    whole, got = (sorted(S.split(_table(spark, UNEVEN), ["key"], "text", configs, range_bytes=r, halo=h).collect()) for r, h in ((1 << 20, 4), (range_bytes, halo)))
+    assert got == whole
+    _check(got, UNEVEN, configs)
+
+
+def test_a_halo_too_small_is_refused(spark):
+    with pytest.raises(ValueError):
+        S.split(_table(spark, TEXTS), ["key"], "text", [C8], halo=1)
 
 
 def test_files_with_distant_blank_lines(spark, tmp_path):
     text = ("wörd wörd\n" * 300 + "\n") * 3
     (tmp_path / "big.txt").write_bytes(text.encode())
-    got = S.split_files(spark, str(tmp_path), [S.Config("c", 40, 6, 5)], range_bytes=2048, halo=256).orderBy("piece").collect()
+    got = S.split_files(spark, str(tmp_path), [S.Config("c", 40, 6, 5)], range_bytes=2048).orderBy("piece").collect()
     assert got[-1].end_word == len(text.split()) and all(b.start_word + b.overlap_words == a.end_word for a, b in zip(got, got[1:]))
     assert all(text.encode()[p.start_char : p.end_char].decode() == p.piece_text for p in got)
     assert all(b.start_char < a.end_char for a, b in zip(got, got[1:]))
