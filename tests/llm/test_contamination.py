@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pytest
+
 from filigree.llm import contamination as K
 
 WORDS = [f"term{i}" for i in range(4000)]
@@ -66,3 +69,99 @@ def test_long_text_of_common_words(spark):
     passage = rng.choices(few, k=90)
     docs = [(1, " ".join(rng.choices(few, k=60_000))), (2, " ".join(rng.choices(few, k=20_000) + passage + rng.choices(few, k=20_000)))]
     assert _run(spark, docs, [(1, " ".join(passage))]) == [(2, 1)]
+
+
+def _brute(ids, text):
+    """Whether some stretch that begins and ends with equal words is long enough for its edits, by all alignments."""
+    n, least = len(ids), -(-len(ids) // 3)
+    for i0 in range(n - least + 1):
+        for j0 in range(len(text)):
+            if ids[i0] != text[j0]:
+                continue
+            if least == 1:
+                return True
+            row = list(range(len(text) - j0))
+            for i in range(i0 + 1, n):
+                last, row[0] = row[0], i - i0
+                for j in range(j0 + 1, len(text)):
+                    k, equal = j - j0, ids[i] == text[j]
+                    new = min(row[k] + 1, row[k - 1] + 1, last + (not equal))
+                    if equal and i - i0 + 1 >= least and last <= (i - i0 + 1) // 10 + 1:
+                        return True
+                    last, row[k] = row[k], new
+    return False
+
+
+def test_against_all_alignments():
+    rng = random.Random(6)
+    seen = set()
+    for k in range(160):
+        some = [f"v{i}" for i in range(rng.choice((4, 9, 60)))]
+        passage = rng.choices(some, k=rng.randint(1, 66))
+        at = rng.randrange(len(passage))
+        part = passage[at : at + rng.randint(len(passage) // 4, len(passage))]
+        for _ in range(rng.randint(0, len(part) // 6)):
+            at = rng.randrange(max(1, len(part)))
+            part[at : at + rng.choice((0, 1, 1))] = rng.choice(([], ["zz"], ["zz"]))
+        text = rng.choices(some, k=rng.randint(0, 20)) + part + rng.choices(some, k=rng.randint(0, 20))
+        index = K.Index([" ".join(passage)])
+        ids, starts = K._numbers([" ".join(text)], index.vocabulary)
+        seen_by = {q: np.array([rng.randrange(5) for _ in x]) for q, x in index.keys.items()}
+        want = _brute(index.passages[0].ids.tolist(), ids[:-1].tolist())
+        got = bool(K.find(index, index.prefixes(seen_by), ids, starts))
+        in_order = K._in_order(index.passages[0], ids[:-1], *_shared(index, ids))
+        assert got == want or (got and in_order), (passage, text)
+        seen.add(want)
+    assert seen == {True, False}
+
+
+def _shared(index, ids):
+    p = index.passages[0]
+    keys, at = K.text_shingles(ids, p.width)
+    pairs = [(i, j) for key, j in zip(keys.tolist(), at.tolist()) for i in np.flatnonzero(p.keys == key).tolist()]
+    return tuple(np.array(pairs, np.int64).reshape(-1, 2).T)
+
+
+@pytest.mark.parametrize("phrase", [5, 6, 7])
+def test_repeated_phrases_with_changed_words(spark, phrase):
+    """Tables and boilerplate: the same few words over and over with a number, one word in 11 to 17 changed."""
+    row = [f"cell{k}" for k in range(phrase)]
+    passage = [w for r in range(30) for w in (*row, f"n{r}")]
+    docs = []
+    for k, every in enumerate((11, 13, 17, 3)):
+        copy = [f"other{i}" if i % every == every - 1 else w for i, w in enumerate(passage)]
+        docs.append((k, " ".join(["before"] * 20 + copy + ["after"] * 20)))
+    assert _run(spark, docs, [(1, " ".join(passage))]) == [(0, 1), (1, 1), (2, 1)]
+
+
+def test_a_part_with_edits_beside_a_worse_part(spark):
+    rng = random.Random(8)
+    p = rng.sample(WORDS, 120)
+    copy = list(p[:100])
+    for at in [9, 17, 25, 33, *range(42, 100, 6)]:
+        copy[at] = "changed"
+    four = list(p[30:80])
+    for at in (20, 22, 24, 26, 28):
+        four[at] = "changed"
+    assert _run(spark, [(1, " ".join(copy)), (2, " ".join(four)), (3, " ".join(p[:36]))], [(5, " ".join(p))]) == [(1, 5), (2, 5)]
+
+
+def test_item_keys_of_any_type_and_count_bounds(spark):
+    d = spark.createDataFrame([("d", " ".join(WORDS[:40]))], "doc string, text string")
+    i = spark.createDataFrame([("é", " ".join(WORDS[:60]), 1.5)], "name string, passage string, doc double")
+    assert [tuple(r) for r in K.contaminated(d, i, "doc", "text", "name", "passage").collect()] == [("d", "é")]
+    assert [tuple(r) for r in K.contaminated(d, i, "doc", "text", "doc", "passage").collect()] == [("d", 1.5)]
+
+
+def test_prefixes_hold_a_shingle_of_every_stretch():
+    """Whatever shingles the edits of a stretch spoil, one of the prefix is left."""
+    rng = np.random.default_rng(5)
+    for n in (30, 88, 121, 160):
+        p = K.Passage(np.arange(1, n + 1))
+        rank = rng.permutation(len(p.keys))
+        chosen = p.prefix(rank)
+        for words, edits in p.lengths:
+            for a in range(n - words + 1):
+                inside = chosen[a : a + words - p.width + 1]
+                # the edits spoil at most so many of the chosen ones
+                assert inside.sum() > min(p.width * edits, len(inside) - 1)
