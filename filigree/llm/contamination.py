@@ -211,14 +211,6 @@ def _windows(line: np.ndarray, width: int) -> np.ndarray:
 def leaks(passage: Passage, text: np.ndarray, at_item: np.ndarray, at_text: np.ndarray) -> bool:
     """Whether a text that shares shingles at the given places holds the passage or a third of it."""
     n = len(passage.ids)
-    # word for word along a diagonal, with words changed only
-    diagonals, counts = np.unique(at_text - at_item, return_counts=True)
-    for d in diagonals[counts >= passage.need].tolist():
-        a, z = max(0, -d), min(n, len(text) - d)
-        same = passage.ids[a:z] == text[a + d : z + d]
-        wrong = np.concatenate(([0], np.cumsum(~same)))
-        if any(z - a >= x and ((wrong[x:] - wrong[:-x] <= e) & same[: z - a - x + 1] & same[x - 1 :]).any() for x, e in passage.lengths):
-            return True
     # diagonals that lie with as many shingles as a stretch must share, and windows of the passage that have words enough beside them
     line = np.sort(at_text - at_item)
     last = np.searchsorted(line, line + passage.edits, "right") - 1
@@ -235,11 +227,21 @@ def leaks(passage: Passage, text: np.ndarray, at_item: np.ndarray, at_text: np.n
             beside = np.concatenate((np.full(before, -1, np.int32), beside, np.full(after, -1, np.int32)))
         met = np.zeros(z - a + 1, np.int64)
         np.cumsum((_windows(beside, end - d) == passage.ids[a:z, None]).any(axis=1), out=met[1:])
-        if any(z - a >= x and (met[x:] - met[:-x]).max() >= x - e for x, e in passage.lengths) and _stretch(passage, text, d, end):
-            return True
+        if any(z - a >= x and (met[x:] - met[:-x]).max() >= x - e for x, e in passage.lengths):
+            own = np.unique(line[(line >= d) & (line < end)])
+            if any(_along(passage, text, x) for x in own.tolist()) or _stretch(passage, text, d, end):
+                return True
     return _in_order(passage, text, at_item, at_text)
 
 
+def _along(passage: Passage, text: np.ndarray, d: int) -> bool:
+    """Whether a stretch stands word for word along a diagonal, with words changed only."""
+    a, z = max(0, -d), min(len(passage.ids), len(text) - d)
+    same = passage.ids[a:z] == text[a + d : z + d]
+    wrong = np.concatenate(([0], np.cumsum(~same)))
+    return any(z - a >= x and ((wrong[x:] - wrong[:-x] <= e) & same[: z - a - x + 1] & same[x - 1 :]).any() for x, e in passage.lengths)
+
+
 def _stretch(passage: Passage, text: np.ndarray, low: int, high: int) -> bool:
     """Whether an alignment that begins and ends with equal words, and begins on a diagonal from ``low`` to ``high``, is long enough for its edits: from every such beginning, the edit distances in a band."""
     n, most = len(passage.ids), passage.edits
@@ -279,6 +281,8 @@ def _in_order(passage: Passage, text: np.ndarray, at_item: np.ndarray, at_text:
     """Whether nine words in ten of the passage stand in the text in order, each no further from a shared shingle than its edits allow."""
     n, q, edits = len(passage.ids), passage.width, passage.edits
     least = n - edits
+    if np.count_nonzero(np.bincount(at_item)) < passage.whole:
+        return False
     # shared shingles in order
     tails: list[int] = []
     for k in np.lexsort((-at_item, at_text)).tolist():
@@ -317,7 +321,8 @@ def _numbers(texts: list[str | None], vocabulary: dict[bytes, int]) -> tuple[np.
     return np.array(line, np.int32), np.array([*starts, len(line)], np.int64)
 
 
-ENTRIES = 1 << 20
+#: Entries of shared shingles, and words of texts, that a worker looks at together.
+ENTRIES, WORDS_AT_ONCE = 1 << 20, 1 << 17
 
 
 def _expanded(begin: np.ndarray, which: np.ndarray):
@@ -333,6 +338,14 @@ def _expanded(begin: np.ndarray, which: np.ndarray):
 
 
 _FAR = 1 << 31
+_PLACES = 1 << 24
+
+
+def _is_in(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which keys are among the given ones, which ascend."""
+    if not len(among):
+        return np.zeros(len(keys), bool)
+    return among[np.minimum(np.searchsorted(among, keys), len(among) - 1)] == keys
 
 
 def _within_bounds(group: np.ndarray, at_item: np.ndarray, diagonal: np.ndarray, shift: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -382,8 +395,10 @@ def find(index: Index, prefixes: dict[int, np.ndarray], ids: np.ndarray, starts:
             x = some[x[among]]
             got.append((pair[among], at[x] - starts[doc[x]], place[entry[among]]))
         pair, at_text, at_item = (np.concatenate(v) for v in zip(*got))
-        names, of = np.unique(pair, return_inverse=True)
-        enough = (np.bincount(of, minlength=len(names)) >= index.least_of[names % passages])[of]
+        # different places of the passage first
+        line = np.sort(pair * _PLACES + at_item)
+        names, n = np.unique(line[np.diff(line, prepend=-1) != 0] // _PLACES, return_counts=True)
+        enough = _is_in(pair, names[n >= index.least_of[names % passages]])
         pair, at_text, at_item = pair[enough], at_text[enough], at_item[enough]
         order = np.argsort(pair, kind="stable")
         pair, at_text, at_item = pair[order], at_text[order], at_item[order]
@@ -449,9 +464,14 @@ def _pass(df: DataFrame, key: str, text: str, items: list, index: Index, item_ty
         index, prefixes = shared.value, needed.value
         for b in batches:
             texts = [np.frombuffer(x, np.int32) for x in b.column("ids").to_pylist()]
-            starts = np.cumsum([0, *map(len, texts)])
-            found = find(index, prefixes, np.concatenate(texts) if texts else np.zeros(0, np.int32), starts)
-            pairs = [(d, item) for d, p in found for item in held[p]]
+            edge = np.cumsum([0, *map(len, texts)])
+            pairs = []
+            lo = 0
+            while lo < len(texts):
+                hi = max(lo + 1, int(np.searchsorted(edge, edge[lo] + WORDS_AT_ONCE, "right")) - 1)
+                found = find(index, prefixes, np.concatenate(texts[lo:hi]), edge[lo : hi + 1] - edge[lo])
+                pairs += [(lo + d, item) for d, p in found for item in held[p]]
+                lo = hi
             docs, names = zip(*pairs) if pairs else ((), ())
             yield pa.record_batch([b.column("doc").take(pa.array(docs, pa.int64())), pa.array(names, arrow)], ["doc", "item"])
 
