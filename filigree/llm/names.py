@@ -1,23 +1,34 @@
 """Linking the variant spellings of names typed by people.
 
 Merge-and-rematch resolution. A profile is a set of records taken for one
-person or organisation of a company. In each round every profile is blocked by
-the keys of all its spellings; profiles that meet in a block and do not
-contradict each other merge, which unions their spellings, initials, suffixes
-and dates; the richer profiles enter blocking again, until no merge occurs.
+person or organisation of a company: their spellings, dates and suffix. In
+each round profiles are blocked by keys made from all of that; those that meet
+in a block and do not contradict each other merge, which unions what they
+hold; merged profiles get new keys, from spellings of one record with dates of
+another and without those that a better spelling makes needless, and enter
+blocking again, until no merge occurs. First only exact keys are made, so that
+the many keys of near spellings are made once for a merged profile.
 
 A spelling is parsed into surname, given name, initials, generation suffix, or
 for organisations into a name and a legal form. Spellings with a full given
 name (and organisations) are strong: they share a key when surname and given
-name agree up to one edit, a nickname, a hyphen or a look-alike of typing.
+name agree up to one edit, a nickname, a hyphen or a look-alike of typing. Two
+different given names that are known, or two unknown ones with different
+initials, keep a key from merging. A given name is known when it is listed
+with short forms, or by frequency: it occurs at ``ESTABLISHED`` companies or
+more and no similar one is ``DOMINANT`` times as frequent.
 Spellings with initials or a surname only are weak: they follow a key only if
 all strong spellings under it are one profile by now, or the start dates leave
-one. Two suffixes, or two legal forms, under one key keep their profiles apart;
-a spelling without one joins only where there is one.
+one.
 
-Blocks are worked on by aggregates over a key (least and greatest profile,
-suffix, name), never by pairs, so that a key which a third of all rows share
-is combined like any other. Rounds are cut by written tables.
+Suffixes and legal forms: profiles of different ones never merge. Profiles of
+equal ones, or of none, merge first. A profile without one that then still
+meets profiles with one follows them if all of them have the same, and stays
+alone otherwise. Which merges happen depends on what profiles hold and on
+nothing else.
+
+Blocks are worked on by aggregates over a key, combined before the shuffle and
+by suffix first, never by pairs. Rounds are cut by written tables.
 
 Defined results: blank, null and placeholder names, and records without a
 company, are linked to nobody; repeated rows count once.
@@ -27,12 +38,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from filigree.llm.canonical import canonical_text
 from filigree.runtime import bound_batches, stage
@@ -48,8 +59,7 @@ SHORT_FORMS = {
     "ronald": "ron", "samuel": "sam", "stephen": "steve", "steven": "steve", "susan": "sue susie", "theodore": "ted theo", "thomas": "tom tommy", "timothy": "tim", "victoria": "vicky tori",
     "vincent": "vince", "walter": "walt", "william": "will bill billy liam",
 }
-# Given names without short forms, so that two of them are never taken for typing errors of each other.
-PLAIN_NAMES = set("amara ingrid kenji liang marta olga priya rene sol tariq xenia zoe maria anna sara laura linda karen nancy paul mark george brian kevin jason eric adam carl hans erik".split())
+# Words of English names and of English filings.
 HONORIFICS = set("mr mrs ms miss mx dr prof hon sir dame rev mister".split())
 DEGREES = set("cpa cfa phd md jd mba esq esquire llm dds msc bsc cma retired ret".split())
 SUFFIXES = {"jr": "jr", "junior": "jr", "sr": "sr", "senior": "sr", "ii": "2", "iii": "3", "iv": "4", "2nd": "2", "3rd": "3"}
@@ -86,10 +96,6 @@ def formal(given: str) -> set[str]:
     return _SHORT.get(given, {given})
 
 
-def known(given: str) -> bool:
-    return given in _SHORT or given in PLAIN_NAMES
-
-
 def parse(name: str | None) -> tuple[str, str, str, str] | None:
     """(kind, surname or name, given or words of the name, suffix or legal form); kind is full, initial, surname or org; None means nobody."""
     if not name:
@@ -132,26 +138,6 @@ def parse(name: str | None) -> tuple[str, str, str, str] | None:
     return ("full" if len(given) > 1 else "initial"), last, given, suffix
 
 
-def mistyped(given: str) -> bool:
-    """Whether an unknown given name is within two edits of a known one with the same first letter."""
-    if known(given) or len(given) < 4:
-        return False
-    return any(n[0] == given[0] and len(n) > 3 and abs(len(n) - len(given)) < 3 and _edits(given, n) <= 2 for n in (*_SHORT, *PLAIN_NAMES))
-
-
-def _edits(a: str, b: str) -> int:
-    rows = [list(range(len(b) + 1))]
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            best = min(rows[-1][j] + 1, row[-1] + 1, rows[-1][j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                best = min(best, rows[-2][j - 2] + 1)
-            row.append(best)
-        rows.append(row)
-    return rows[-1][-1]
-
-
 def start(text: str | None) -> str:
     """A start date as far as it is told: yyyy, yyyy-mm or yyyy-mm-dd; empty where it is none."""
     t = (text or "").strip().lower()
@@ -171,118 +157,198 @@ def _levels(date: str) -> list[str]:
     return [date[:n] for n in (4, 7, 10) if len(date) >= n]
 
 
+def _near_given(given: str) -> set[str]:
+    """The name and all that one or two letters less leave of it, with its first letter, so that two names within two edits share one."""
+    one = {given[:i] + given[i + 1 :] for i in range(1, len(given))}
+    return {given} | one | {w[:i] + w[i + 1 :] for w in one for i in range(1, len(w))}
+
+
+ESTABLISHED, DOMINANT = 5, 10
 STRONG, CANDIDATE, WEAK = 0, 1, 2
 #: Order in which a weak spelling takes its keys.
 EXACT, EXACT_DATED, NEAR, NEAR_DATED = 0, 1, 2, 3
+#: What is known of a given name: nothing, that it is one, that it is one mistyped.
+UNKNOWN, KNOWN, MISTYPED = 0, 1, 2
 
+Form = tuple[str, str, str, str, int]
 
-def keys_of(forms: list[tuple[str, str, str, str]], date: str) -> list[tuple[str, int, int, str, str]]:
-    """(key, role, rung, suffix, name) of a profile of one or more spellings."""
+
+def exact_keys(forms: list[Form], dates: list[str]) -> list[tuple[int, str, int, int, str]]:
+    """(spelling, key, role, rung, mark) of the spellings that agree letter for letter but for nicknames."""
+    out = []
+    for i, (kind, last, given, _, _) in enumerate(forms):
+        if kind == "org":
+            out.append((i, f"o|{last}", STRONG, 0, ""))
+        elif kind == "full":
+            out += [(i, f"f|{last}|{n}", STRONG, 0, "") for n in sorted(formal(given))]
+    return list(dict.fromkeys(out))
+
+
+def keys_of(forms: list[Form], dates: list[str]) -> list[tuple[int, str, int, int, str]]:
+    """(spelling, key, role, rung, mark) of a profile of one or more spellings and start dates.
+
+    The mark is the given name where it is known, ``?`` and its initial where it is not.
+    """
     out = []
     firm = {f[1] for f in forms if f[0] == "full"}
     some = firm | {f[1] for f in forms if f[0] == "initial"}
-    levels = _levels(date)
-    for kind, last, given, suffix in forms:
+    levels = sorted({x for d in dates for x in _levels(d)})
+    years = [x for x in levels if len(x) == 4]
+    for i, (kind, last, given, _, state) in enumerate(forms):
         if kind == "org":
-            out += [(f"o|{d}", STRONG, 0, suffix, "") for d in (deletions(last) if len(last) > 5 else [last])]
+            out += [(i, f"o|{d}", STRONG, 0, "") for d in (deletions(last) if len(last) > 5 else [last])]
             # two edits in one word: another main word and the trade still agree
             *main, trade = given.split()
             if trade in TRADES and len(main) > 1:
-                out += [(f"w|{d}|{trade}", STRONG, 0, suffix, "") for w in main if len(w) > 4 for d in deletions(w)]
+                out += [(i, f"w|{d}|{trade}", STRONG, 0, "") for w in main if len(w) > 4 for d in deletions(w)]
             continue
         near = deletions(last)
         if kind == "full":
             names = sorted(formal(given))
-            mark = names[0] if len(names) == 1 and known(given) else ""
+            sure = given in _SHORT or state == KNOWN
+            mark = names[0] if len(names) == 1 and sure else "" if sure else f"?{given[0]}"
             for n in names:
-                out += [(f"f|{d}|{n}", STRONG, 0, suffix, "") for d in near]
-                out += [(f"d|{last}|{n}|{x}", STRONG, 0, suffix, "") for x in levels]
-            spelled = {given, *(x for n in names if known(given) for x in (n, *SHORT_FORMS.get(n, "").split()))}
-            out += [(f"g|{last}|{d}", STRONG, 0, suffix, mark) for x in spelled if len(x) > 3 for d in deletions(x)]
+                out += [(i, f"f|{d}|{n}", STRONG, 0, "") for d in near]
+                out += [(i, f"d|{last}|{n}|{x}", STRONG, 0, "") for x in levels]
+            spelled = {given, *(x for n in names if sure for x in (n, *SHORT_FORMS.get(n, "").split()))}
+            out += [(i, f"g|{last}|{d}", STRONG, 0, mark) for x in spelled if len(x) > 3 for d in deletions(x)]
             letters = {given[0], *(n[0] for n in names)}
-            role, dated = CANDIDATE, levels[:1]
+            role, dated = CANDIDATE, years
             sorts = [f"i{x}" for x in letters] + ["s"]
         elif kind == "initial":
-            sorts, role, dated = [f"i{given[0]}"], WEAK, levels[:1]
+            sorts, role, dated = [f"i{given[0]}"], WEAK, years
             if last not in firm:
-                for x in ["", *(f"|{x}" for x in levels[:1])]:
-                    out.append((f"s|{last}{x}", CANDIDATE, EXACT_DATED if x else EXACT, suffix, ""))
-                    out += [(f"~s|{d}{x}", CANDIDATE, NEAR_DATED if x else NEAR, suffix, "") for d in near]
+                for x in ["", *(f"|{x}" for x in years)]:
+                    out.append((i, f"s|{last}{x}", CANDIDATE, EXACT_DATED if x else EXACT, ""))
+                    out += [(i, f"~s|{d}{x}", CANDIDATE, NEAR_DATED if x else NEAR, "") for d in near]
         else:
-            sorts, role, dated = ["s"], WEAK, levels[:1]
+            sorts, role, dated = ["s"], WEAK, years
         if role == WEAK and last in (firm if kind == "initial" else some):
             continue
         # a mistyped given name is looked up by its initial, and stands for its person where there is no better spelling
-        sure = "?" if kind == "full" and mistyped(given) else ""
+        doubt = "?" if kind == "full" and state == MISTYPED else ""
         for s in sorts:
-            for as_ in (role, WEAK) if sure and s != "s" else (role,):
-                out.append((f"{s}|{last}", as_, EXACT, suffix, sure))
-                out += [(f"{s}|{last}|{x}", as_, EXACT_DATED, suffix, sure) for x in dated]
-                out += [(f"~{s}|{d}", as_, NEAR, suffix, sure) for d in near]
-                out += [(f"~{s}|{d}|{x}", as_, NEAR_DATED, suffix, sure) for d in near for x in dated]
+            for as_ in (role, WEAK) if doubt and s != "s" else (role,):
+                out.append((i, f"{s}|{last}", as_, EXACT, doubt))
+                out += [(i, f"{s}|{last}|{x}", as_, EXACT_DATED, doubt) for x in dated]
+                out += [(i, f"~{s}|{d}", as_, NEAR, doubt) for d in near]
+                out += [(i, f"~{s}|{d}|{x}", as_, NEAR_DATED, doubt) for d in near for x in dated]
     return list(dict.fromkeys(out))
 
 
+PROFILE = "profile bigint, company string, forms array<struct<kind:string,last:string,given:string,suffix:string>>, date string"
+_FORM = "struct<kind:string,last:string,given:string,suffix:string,state:int>"
+KEY = "entity bigint, version int, form int, key bigint, role int, rung int, mark string, dated boolean"
+
+
 def _profiles(batches):
-    """Rows (id, company, names, date) to (id, profile, key, role, rung, suffix, name, dated), one per key."""
-    memo: dict[str | None, tuple | None] = {}
+    """Rows (id, company, names, date) to (id, profile, company, forms, date), of those that name somebody."""
+    memo: dict[str, tuple | None] = {}
+    form = pa.list_(pa.struct([(x, pa.string()) for x in ("kind", "last", "given", "suffix")]))
     for b in batches:
-        rows = []
-        index = []
+        index, profiles, forms, dates = [], [], [], []
         for i, (company, names, date) in enumerate(zip(b.column("company").to_pylist(), b.column("names").to_pylist(), b.column("date").to_pylist())):
-            forms = set()
+            found = set()
             for n in names or ():
                 if n not in memo:
                     if len(memo) > 200_000:
                         memo.clear()
                     memo[n] = parse(n)
                 if memo[n]:
-                    forms.add(memo[n])
-            if not forms:
+                    found.add(memo[n])
+            if not found:
                 continue
-            when = start(date)
-            ordered = sorted(forms)
-            profile = xxhash.xxh3_64_intdigest(repr((company, ordered, when)).encode()) >> 1
-            for key, role, rung, suffix, name in keys_of(ordered, when):
-                index.append(i)
-                rows.append((profile, xxhash.xxh3_64_intdigest(f"{company}|{key}".encode()) - (1 << 63), role, rung, suffix or None, name or None, bool(when)))
-        cols = list(zip(*rows)) if rows else [()] * 7
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.bool_()]
-        yield pa.record_batch([b.column("id").take(pa.array(index, pa.int64())), *[pa.array(c, k) for c, k in zip(cols, kinds)]], ["id", "profile", "key", "role", "rung", "suffix", "name", "dated"])
-
-
-def _round(keys: DataFrame, labels: DataFrame) -> DataFrame:
-    """(profile, label, next): one merge; ``labels`` holds (profile, label, suffix), the suffix being that of the merged profile."""
-    rows = keys.drop("suffix").join(labels, "profile")
-    w = Window.partitionBy("key")
-    # spellings that are mistyped themselves follow only the others
+            when, ordered = start(date), sorted(found)
+            index.append(i)
+            profiles.append(xxhash.xxh3_64_intdigest(repr((company, ordered, when)).encode()) >> 1)
+            forms.append([dict(zip(("kind", "last", "given", "suffix"), f)) for f in ordered])
+            dates.append(when)
+        take = pa.array(index, pa.int64())
+        yield pa.record_batch([b.column("id").take(take), pa.array(profiles, pa.int64()), b.column("company").take(take), pa.array(forms, form), pa.array(dates, pa.string())], ["id", "profile", "company", "forms", "date"])
+
+
+def _make_keys(near: bool):
+    """Rows (entity, version, company, forms, dates) to ``KEY``."""
+    make = keys_of if near else exact_keys
+
+    def work(batches):
+        for b in batches:
+            index, rows, dated = [], [], []
+            for i, (company, forms, dates) in enumerate(zip(b.column("company").to_pylist(), b.column("forms").to_pylist(), b.column("dates").to_pylist())):
+                ordered = sorted(tuple(f.values()) for f in forms)
+                for form, key, role, rung, mark in make(ordered, dates):
+                    index.append(i)
+                    dated.append(bool(dates))
+                    rows.append((form, xxhash.xxh3_64_intdigest(f"{company}|{key}".encode()) - (1 << 63), role, rung, mark or None))
+            cols = list(zip(*rows)) if rows else [()] * 5
+            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
+            take = pa.array(index, pa.int64())
+            yield pa.record_batch(
+                [b.column("entity").take(take), b.column("version").take(take), *[pa.array(c, k) for c, k in zip(cols, kinds)], pa.array(dated, pa.bool_())],
+                ["entity", "version", "form", "key", "role", "rung", "mark", "dated"],
+            )
+
+    return work
+
+
+def _deleted(batches):
+    for b in batches:
+        rows = [(i, k) for i, g in enumerate(b.column("given").to_pylist()) for k in _near_given(g)]
+        index, keys = zip(*rows) if rows else ((), ())
+        take = pa.array(index, pa.int64())
+        yield pa.record_batch([b.column("given").take(take), b.column("n").take(take), pa.array(keys, pa.string())], ["given", "n", "key"])
+
+
+def given_states(profiles: DataFrame) -> DataFrame:
+    """(given, state): the given names without short forms that are known, or mistyped, by the companies at which they occur."""
+    full = profiles.select("company", F.explode("forms").alias("f")).where("f.kind = 'full'").select("company", F.col("f.given").alias("given")).distinct()
+    counts = stage(full.groupBy("given").agg(F.count("*").alias("n")), label="given-names")
+    listed = profiles.sparkSession.createDataFrame([(x,) for x in sorted(_SHORT)], "given string")
+    counted = counts.join(listed.withColumn("listed", F.lit(True)), "given", "full").select("given", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("listed", F.lit(False)).alias("listed"))
+    keyed = counted.select("given", "n").mapInArrow(_deleted, "given string, n bigint, key string")
+    firm = keyed.join(counted.where((F.col("n") >= ESTABLISHED) | F.col("listed")).select("given", "listed"), "given").select(F.col("given").alias("other"), F.col("n").alias("m"), "listed", "key")
+    near = keyed.join(firm, "key").where("given <> other and levenshtein(given, other, 2) >= 0").select("given", "n", "other", "m", "listed").distinct()
+    beaten = near.where(F.col("m") >= DOMINANT * F.col("n")).select("given").distinct()
+    known = stage(counted.where((F.col("n") >= ESTABLISHED) & ~F.col("listed")).select("given").join(beaten, "given", "left_anti"), label="known-given-names")
+    alike = near.join(known.select(F.col("given").alias("other"), F.lit(True).alias("is_known")), "other", "left").where("(listed or is_known) and length(other) > 3 and length(given) > 3")
+    mistyped = alike.select("given").distinct().join(known.unionByName(listed), "given", "left_anti")
+    return known.withColumn("state", F.lit(KNOWN)).unionByName(mistyped.withColumn("state", F.lit(MISTYPED)))
+
+
+def _links(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((entity, to), (entity, to, ...)): links of strong spellings, and of weak ones; ``keys`` holds ``KEY`` with the suffix of the entity."""
     firm = F.col("role") < WEAK
-    good = firm & F.col("name").isNull()
-    doubtful = F.col("name").eqNullSafe("?") & (F.col("role") == WEAK)
-    strong = F.when(F.col("role") == STRONG, F.col("label"))
-    view = rows.select(
-        "profile", "label", "key", "role", "rung", "suffix", "dated", "name",
-        F.min("label").over(w).alias("all_lo"),
-        F.when(doubtful, F.min(F.when(good, F.col("label"))).over(w)).otherwise(F.min(F.when(firm, F.col("label"))).over(w)).alias("lo"),
-        F.when(doubtful, F.max(F.when(good, F.col("label"))).over(w)).otherwise(F.max(F.when(firm, F.col("label"))).over(w)).alias("hi"),
-        F.max(F.when(firm, F.col("dated"))).over(w).alias("any_dated"),
-        F.min("suffix").over(w).alias("s_lo"), F.max("suffix").over(w).alias("s_hi"),
-        F.min(F.when(F.col("role") == STRONG, F.col("name"))).over(w).alias("n_lo"), F.max(F.when(F.col("role") == STRONG, F.col("name"))).over(w).alias("n_hi"),
-        F.min(strong).over(Window.partitionBy("key", "suffix")).alias("own_lo"),
+    good = firm & F.col("mark").isNull()
+    strong = F.col("role") == STRONG
+    unknown = F.col("mark").startswith("?")
+    pick = lambda f, cond, c="entity": f(F.when(cond, F.col(c)))
+    by_suffix = keys.groupBy("key", "suffix").agg(
+        F.min("entity").alias("lo"), F.max("entity").alias("hi"), pick(F.min, firm).alias("firm_lo"), pick(F.max, firm).alias("firm_hi"), pick(F.min, good).alias("good_lo"), pick(F.max, good).alias("good_hi"),
+        pick(F.max, firm, "dated").alias("dated"), pick(F.min, strong).alias("own"),
+        pick(F.min, strong & ~unknown, "mark").alias("k_lo"), pick(F.max, strong & ~unknown, "mark").alias("k_hi"), pick(F.min, strong & unknown, "mark").alias("u_lo"), pick(F.max, strong & unknown, "mark").alias("u_hi"),
+    )
+    least, most = ["lo", "firm_lo", "good_lo", "k_lo", "u_lo"], ["hi", "firm_hi", "good_hi", "k_hi", "u_hi"]
+    # no more entries in the map than there are suffixes and legal forms
+    by_key = by_suffix.groupBy("key").agg(
+        *[F.min(c).alias(c) for c in least], *[F.max(c).alias(c) for c in most], F.max("dated").alias("any_dated"), F.min("suffix").alias("s_lo"), F.max("suffix").alias("s_hi"),
+        F.map_from_entries(F.collect_list(F.struct(F.coalesce("suffix", F.lit("")).alias("suffix"), "own"))).alias("own"),
     )
-    apart = F.col("s_lo") != F.col("s_hi")
-    apart = F.coalesce(apart, F.lit(False))
-    names_apart = F.coalesce(F.col("n_lo") != F.col("n_hi"), F.lit(False))
-    to = F.when(names_apart, F.lit(None)).when(~apart, F.col("all_lo")).when(F.col("suffix").isNotNull(), F.col("own_lo"))
-    by_strong = view.where(F.col("role") == STRONG).select("label", to.alias("to"))
+    view = keys.join(by_key.where("lo <> hi"), "key")
+    apart = F.coalesce(F.col("s_lo") != F.col("s_hi"), F.lit(False))
+    names_apart = F.coalesce(F.col("k_lo") != F.col("k_hi"), F.lit(False)) | F.coalesce(F.col("u_lo") != F.col("u_hi"), F.lit(False))
+    met = view.where(strong & ~names_apart & (F.col("suffix").isNotNull() | ~apart))
+    same = met.select("entity", F.col("own")[F.coalesce("suffix", F.lit(""))].alias("to"))
+    mixed = met.where("suffix is null and s_lo is not null").select("entity", F.col("own")[F.col("s_lo")].alias("to"))
+    by_strong = same.unionByName(mixed).where("to <> entity").distinct()
     # weak spellings: the rungs of their keys side by side
     seen = view.where(F.col("role") == WEAK)
+    doubtful = F.col("mark").eqNullSafe("?")
+    seen = seen.withColumns({"c_lo": F.when(doubtful, F.col("good_lo")).otherwise(F.col("firm_lo")), "c_hi": F.when(doubtful, F.col("good_hi")).otherwise(F.col("firm_hi"))})
+    seen = seen.withColumn("suits", (F.col("suffix").isNull() | F.col("s_lo").isNull() | (F.col("s_lo") == F.col("suffix"))) & ~apart)
     at = lambda c, rung, f: f(F.when(F.col("rung") == rung, F.col(c)))
-    suits = (F.col("suffix").isNull() | F.col("s_lo").isNull() | (F.col("s_lo") == F.col("suffix"))) & ~apart
-    seen = seen.withColumn("suits", suits)
-    one = seen.groupBy("profile", "label").agg(
-        *[at("lo", r, F.min).alias(f"lo{r}") for r in range(4)], *[at("hi", r, F.max).alias(f"hi{r}") for r in range(4)],
-        F.min(F.when((F.col("rung") == EXACT) & F.col("name").isNull(), F.col("all_lo"))).alias("alone"), F.max("dated").alias("dated"), F.max(F.when(F.col("rung").isin(EXACT, NEAR), F.col("any_dated"))).alias("others_dated"),
+    one = seen.groupBy("entity", "form").agg(
+        *[at("c_lo", r, F.min).alias(f"lo{r}") for r in range(4)], *[at("c_hi", r, F.max).alias(f"hi{r}") for r in range(4)],
+        F.min(F.when((F.col("rung") == EXACT) & ~doubtful, F.col("lo"))).alias("alone"), F.max(F.col("dated")).alias("dated"), F.max(F.when(F.col("rung").isin(EXACT, NEAR), F.col("any_dated"))).alias("others_dated"),
         F.min(F.when(F.col("rung") == EXACT, F.col("suits"))).alias("suits"),
     )
     unique = lambda r: F.col(f"lo{r}") == F.col(f"hi{r}")
@@ -291,63 +357,88 @@ def _round(keys: DataFrame, labels: DataFrame) -> DataFrame:
     exact = F.when(unique(EXACT) & ~veto, F.col("lo0")).when(unique(EXACT_DATED), F.col("lo1"))
     near = F.when(unique(NEAR) & ~veto, F.col("lo2")).when(unique(NEAR_DATED), F.col("lo3"))
     to = F.when(F.col("lo0").isNotNull(), exact).when(F.col("lo2").isNotNull(), near).otherwise(F.col("alone"))
-    by_weak = one.where(F.coalesce("suits", F.lit(True))).select("label", to.alias("to")).where("to is not null")
-    # the two profiles of a link both move to the lesser label
-    links = by_strong.unionByName(by_weak).unionByName(by_weak.select(F.col("to").alias("label"), F.col("label").alias("to"))).where("to < label")
-    moves = links.groupBy("label").agg(F.min("to").alias("to"))
-    return labels.join(moves, "label", "left").select("profile", "label", F.coalesce("to", "label").alias("next"))
-
-
-def _follow(moved: DataFrame) -> DataFrame:
-    """Labels that moved to a label which moved itself go on to its target."""
-    jump = moved.groupBy("label").agg(F.first("next").alias("beyond")).where("label <> beyond").withColumnRenamed("label", "next")
-    return moved.join(jump, "next", "left").select("profile", "label", F.coalesce("beyond", "next").alias("next"))
-
-
-def _telling(keys: DataFrame) -> DataFrame:
-    """Without the keys of a single profile, and of keys that hold the same spellings in the same roles all but one: most names have a dozen such."""
-    keys = stage(keys, label="all-keys")
-    content = [F.bit_xor(F.xxhash64("profile", "role", "rung", "suffix", "name", F.lit(seed))).alias(f"h{seed}") for seed in (0, 1)]
-    groups = keys.groupBy("key").agg(F.min("profile").alias("lo"), F.max("profile").alias("hi"), F.count("*").alias("n"), *content).where("lo <> hi")
-    one = groups.groupBy("n", "h0", "h1").agg(F.min("key").alias("key")).select("key")
-    return stage(keys.join(one, "key", "left_semi"), label="telling-keys")
-
-
-def resolve(records: DataFrame, max_rounds: int = 40) -> DataFrame:
+    by_weak = one.where(F.coalesce("suits", F.lit(True))).select("entity", to.alias("to")).where("to <> entity").distinct()
+    return by_strong, by_weak
+
+
+def _moves(keys: DataFrame, entities: DataFrame, near: bool) -> DataFrame:
+    """(entity, to): who merges into whom in this round."""
+    by_strong, by_weak = _links(keys)
+    links = stage((by_strong.unionByName(by_weak) if near else by_strong).distinct(), label="name-links")
+    suffix = entities.select("entity", "suffix")
+    links = links.join(suffix.withColumnRenamed("suffix", "sa"), "entity").join(suffix.withColumnsRenamed({"entity": "to", "suffix": "sb"}), "to")
+    same = links.where("sa <=> sb").select("entity", "to")
+    if near:
+        # from the side without a suffix; it waits while it merges with its like, and follows one suffix only
+        bare = links.where("(sa is null) <> (sb is null)").select(F.when(F.col("sa").isNull(), F.col("entity")).otherwise(F.col("to")).alias("bare"), F.when(F.col("sa").isNull(), F.col("to")).otherwise(F.col("entity")).alias("with"), F.coalesce("sa", "sb").alias("suffix"))
+        busy = same.select(F.explode(F.array("entity", "to")).alias("bare")).distinct()
+        sure = bare.groupBy("bare").agg(F.min("suffix").alias("s"), F.max("suffix").alias("t")).where("s = t").select("bare").join(busy, "bare", "left_anti")
+        same = same.unionByName(bare.join(sure, "bare").select(F.col("bare").alias("entity"), F.col("with").alias("to")))
+    moves = same.groupBy(F.greatest("entity", "to").alias("entity")).agg(F.min(F.least("entity", "to")).alias("to"))
+    # a target that moves itself takes its followers along
+    beyond = moves.select(F.col("entity").alias("to"), F.col("to").alias("beyond"))
+    return moves.join(beyond, "to", "left").select("entity", F.coalesce("beyond", "to").alias("to"))
+
+
+def _one_suffix(forms: str):
+    """The suffix of all spellings that have one, null where there are two."""
+    said = F.array_distinct(F.filter(F.transform(forms, lambda f: f["suffix"]), lambda x: x != ""))
+    return F.when(F.size(said) == 1, said[0])
+
+
+def resolve(records: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, entity): records (id bigint, company string, names array<string>, date string) that mean the same have one entity."""
-    bound_batches(records.sparkSession)
-    usable = records.where("id is not null and company is not null").select("id", "company", "names", "date")
-    # few bytes become many keys: the number of tasks is named, lest it follow the bytes
-    usable = usable.repartition(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id").distinct()
-    rows = stage(usable.mapInArrow(_profiles, "id bigint, profile bigint, key bigint, role int, rung int, suffix string, name string, dated boolean"), label="name-keys")
+    spark = records.sparkSession
+    bound_batches(spark)
+    usable = records.where("id is not null and company is not null").select("id", "company", "names", "date").distinct()
+    rows = stage(usable.mapInArrow(_profiles, f"id bigint, {PROFILE}"), label="name-profiles")
     members = rows.select("id", "profile").distinct()
-    keys = _telling(rows.drop("id").distinct())
-    # a profile's own suffix; of more than one none counts
-    own = rows.groupBy("profile").agg(F.min("suffix").alias("lo"), F.max("suffix").alias("hi")).select("profile", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("own"))
-    labels = stage(own.select("profile", F.col("profile").alias("label"), "own", F.col("own").alias("suffix")), label="labels")
-    for _ in range(max_rounds):
-        moved = _follow(_round(keys, labels.select("profile", "label", "suffix")))
-        after = moved.join(labels.select("profile", "own"), "profile")
-        w = Window.partitionBy("next")
-        after = after.select("profile", "label", "next", "own", F.min("own").over(w).alias("lo"), F.max("own").over(w).alias("hi"))
-        # a merge that would bring two suffixes together is undone
-        clash = F.coalesce(F.col("lo") != F.col("hi"), F.lit(False))
-        before = labels.select("profile", F.col("suffix").alias("was"))
-        after = after.join(before, "profile").select(
-            "profile", F.when(clash, F.col("label")).otherwise(F.col("next")).alias("label"), "own", F.when(clash, F.col("was")).otherwise(F.col("lo")).alias("suffix"), (~clash & (F.col("label") != F.col("next"))).alias("changed")
-        )
-        after = stage(after, label="labels")
-        labels = after.drop("changed")
-        if not after.where("changed").limit(1).count():
-            break
-    else:
-        raise RuntimeError(f"names still merged after {max_rounds} rounds")
-    return members.join(labels, "profile").select("id", F.col("label").alias("entity")).distinct()
+    profiles = rows.drop("id").dropDuplicates(["profile"])
+    states = given_states(profiles)
+    forms = profiles.select("profile", "company", "date", F.explode("forms").alias("f")).withColumn("given", F.when(F.col("f.kind") == "full", F.col("f.given")))
+    told = forms.join(states, "given", "left").select("profile", "company", "date", F.struct("f.*", F.coalesce("state", F.lit(UNKNOWN)).alias("state")).cast(_FORM).alias("f"))
+    entities = told.groupBy("profile").agg(F.first("company").alias("company"), F.collect_set("f").alias("forms"), F.first("date").alias("date"))
+    entities = entities.select(F.col("profile").alias("entity"), F.lit(0).alias("version"), "company", "forms", F.when(F.col("date") == "", F.array().cast("array<string>")).otherwise(F.array("date")).alias("dates"), _one_suffix("forms").alias("suffix"))
+    entities = stage(entities, label="name-entities")
+    labels = entities.select(F.col("entity").alias("profile"), "entity")
+    version = 0
+    for near in (False, True):
+        # few bytes become many keys: the tasks are as many as the records are, not as their bytes are
+        made = lambda df: stage(_spread(df).mapInArrow(_make_keys(near), KEY), label="name-keys")  # noqa: E731, B023
+        keys = [made(entities)]
+        while True:
+            version += 1
+            if version > max_rounds:
+                raise RuntimeError(f"names still merged after {max_rounds} rounds")
+            current = entities.select("entity", "version", "suffix")
+            valid = reduce(DataFrame.unionByName, keys).join(current, ["entity", "version"])
+            moves = stage(_moves(valid, entities, near), label="name-moves")
+            if not moves.limit(1).count():
+                break
+            touched = moves.select(F.explode(F.array("entity", "to")).alias("entity")).distinct()
+            changed = entities.join(touched, "entity", "left_semi").join(moves, "entity", "left").select(F.coalesce("to", "entity").alias("entity"), "company", "forms", "dates")
+            changed = changed.groupBy("entity").agg(F.first("company").alias("company"), F.array_distinct(F.flatten(F.collect_list("forms"))).alias("forms"), F.array_distinct(F.flatten(F.collect_list("dates"))).alias("dates"))
+            changed = stage(changed.select("entity", F.lit(version).alias("version"), "company", "forms", "dates", _one_suffix("forms").alias("suffix")), label="name-entities")
+            keys.append(made(changed))
+            entities = stage(entities.join(touched, "entity", "left_anti").unionByName(changed), label="name-entities")
+            labels = stage(labels.join(moves, "entity", "left").select("profile", F.coalesce("to", "entity").alias("entity")), label="labels")
+    return members.join(labels, "profile").select("id", "entity").distinct()
+
+
+RECORDS_A_TASK = 20_000
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    return df.repartition(max(1, -(-df.count() // RECORDS_A_TASK), min(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // 1000))), "entity")
+
+
+PAIR_BLOCK = 2_000
 
 
 def linked_pairs(entities: DataFrame) -> DataFrame:
-    """(id_a, id_b), id_a < id_b: every two records of one entity."""
-    shared = entities.groupBy("entity").agg(F.count("*").alias("n")).where("n > 1").select("entity")
-    several = entities.join(shared, "entity")
-    a, b = several.withColumnRenamed("id", "id_a"), several.withColumnRenamed("id", "id_b")
-    return a.join(b, "entity").where("id_a < id_b").select("id_a", "id_b").distinct()
+    """(id_a, id_b), id_a < id_b: every two records of one entity; those of large entities in blocks."""
+    sizes = entities.groupBy("entity").agg(F.count("*").alias("n")).where("n > 1").select("entity", F.ceil(F.col("n") / PAIR_BLOCK).cast("int").alias("blocks"))
+    several = entities.join(sizes, "entity")
+    a = several.select("entity", F.col("id").alias("id_a"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    b = several.select("entity", F.col("id").alias("id_b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    return a.join(b, ["entity", "block"]).where("id_a < id_b").select("id_a", "id_b").distinct()

@@ -71,3 +71,37 @@ def test_repeated_rows_ties_and_empty(spark):
 def test_pairs(spark):
     ent = spark.createDataFrame([(1, 7), (2, 7), (3, 7), (4, 8)], "id bigint, entity bigint")
     assert sorted(tuple(r) for r in N.linked_pairs(ent).collect()) == [(1, 2), (1, 3), (2, 3)]
+
+
+def test_a_merged_profile_is_blocked_by_all_it_holds(spark):
+    """The date of one record and the spelling of another make a key that neither had."""
+    rows = [(1, "c", ["Olga Petrova"], "2018-03-01"), (2, "c", ["Olga Petrova", "Olga Marsh"], None), (3, "c", ["O. Marsh"], "2018-03-01"), (4, "c", ["Oscar Marsh"], "2020-01-01")]
+    assert _groups(spark, rows) == [[1, 2, 3], [4]]
+
+
+def test_two_suffixes_that_meet_leave_the_rest_merged_in_every_company(spark):
+    five = [["Ivan Petrov", "Ivan Marsh"], ["Ivan Petrov Jr."], ["Ivan Marsh Sr."], ["Ivan Marsh", "Ivan Q. Marsh"], ["Ivan Petrov", "Ivan Q. Petrov"]]
+    rows = [(5 * c + i, f"c{c}", names, None) for c in range(20) for i, names in enumerate(five)]
+    assert _groups(spark, rows) == sorted(g for c in range(20) for g in ([5 * c, 5 * c + 3, 5 * c + 4], [5 * c + 1], [5 * c + 2]))
+
+
+def test_given_names_known_by_frequency(spark):
+    rows = [(c, f"c{c}", [f"{g} Harwell"], None) for c in range(60) for g in ("Zelda",)]
+    rows += [(100 + c, f"c{c}", ["Zelma Harwell"], None) for c in range(8)]  # as a name of its own, too rare beside the other
+    rows += [(200 + c, f"d{c}", [g], None) for c, g in enumerate(["Brunhild Onder"] * 6 + ["Brunhilt Onder"] * 6)]
+    rows += [(300, "e", ["Brunhild Onder"], None), (301, "e", ["Brunhilt Onder"], None)]
+    df = spark.createDataFrame(rows, "id bigint, company string, names array<string>, date string")
+    profiles = df.mapInArrow(N._profiles, f"id bigint, {N.PROFILE}")
+    states = {r.given: r.state for r in N.given_states(profiles.drop("id")).collect()}
+    assert states["zelda"] == N.KNOWN and states["zelma"] == N.KNOWN and states["brunhild"] == states["brunhilt"] == N.KNOWN
+    few = df.where("id < 104 or id >= 200")
+    states = {r.given: r.state for r in N.given_states(few.mapInArrow(N._profiles, f"id bigint, {N.PROFILE}").drop("id")).collect()}
+    assert states["zelma"] == N.MISTYPED
+    groups = {r.id: r.entity for r in N.resolve(few).collect()}
+    assert groups[300] != groups[301] and groups[0] == groups[100]
+
+
+def test_pairs_of_a_large_entity_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(N, "PAIR_BLOCK", 7)
+    ent = spark.createDataFrame([(i, i // 40) for i in range(80)], "id bigint, entity bigint")
+    assert N.linked_pairs(ent).count() == 2 * 40 * 39 // 2
