@@ -86,11 +86,44 @@ def test_trie_join_is_exact():
     for i in range(0, 300, 3):
         marks[i + 1] = marks[i] ^ np.uint64(1 << int(rng.integers(0, 60)))
     marks = marks[np.lexsort((marks[:, 1], marks[:, 0]))]
+    flat = lambda n: np.full(129, n)
     for most in (0, 1, 40, 60):
-        for direct in (1, 32):
-            z = np.array([0])
-            got = {(min(a, b), max(a, b)) for i, j in N.trie_join(z, z + 300, z, z + 300, marks, most, direct=direct, wide=50) for a, b in zip(i.tolist(), j.tolist())}
-            want = {(a, b) for a in range(300) for b in range(a + 1, 300) if int(np.bitwise_count(marks[a] ^ marks[b]).sum()) <= most}
-            assert got == want
-    got = {(a, b) for i, j in N.trie_join(np.array([0]), np.array([100]), np.array([100]), np.array([300]), marks, 60) for a, b in zip(i.tolist(), j.tolist())}
+        z, walk = np.array([0]), N.Walk()
+        got = {(min(a, b), max(a, b)) for i, j in N.trie_join(z, z + 300, z, z + 300, marks, flat(most), wide=50, walk=walk) for a, b in zip(i.tolist(), j.tolist())}
+        want = {(a, b) for a in range(300) for b in range(a + 1, 300) if int(np.bitwise_count(marks[a] ^ marks[b]).sum()) <= most}
+        assert got == want and walk.left == len(want)
+        # few pairs of leaves meet where the budget is small
+        assert most > 1 or (walk.compared < 3000 and walk.dropped > 0)
+    got = {(a, b) for i, j in N.trie_join(np.array([0]), np.array([100]), np.array([100]), np.array([300]), marks, flat(60)) for a, b in zip(i.tolist(), j.tolist())}
     assert got == {(a, b) for a in range(100) for b in range(100, 300) if int(np.bitwise_count(marks[a] ^ marks[b]).sum()) <= 60}
+
+
+def test_budgets_grow_with_depth():
+    b = N.budgets(0.6)
+    assert len(b) == N.BITS + 1 and b[0] == 0 and (np.diff(b) >= 0).all() and (b <= np.arange(N.BITS + 1)).all() and 70 < b[-1] < 90
+    rng = np.random.default_rng(1)
+    # sets of 400 that share three in five of what either holds, and sets that share one in five
+    differ = {}
+    for shared in (300, 134):
+        both = rng.integers(0, 1 << 63, (200, 800 - shared), np.uint64)
+        marks = [[np.frombuffer(N.sketch(N.sign(x)), np.uint8) for x in (r[:400], r[400 - shared :])] for r in both]
+        differ[shared] = np.array([np.bitwise_count(p ^ q).sum() for p, q in marks])
+    assert (differ[300] <= b[-1]).all() and (differ[134] > b[-1]).mean() > 0.9
+
+
+def test_subtries_that_go_over_batches(spark, monkeypatch):
+    texts = _corpus(seed=9, bases=6, copies=9)
+    want = _expected(texts, 0.6, 3)
+    monkeypatch.setattr(N, "ROWS_AT_ONCE", 5)
+    work = N._join(N.budgets(0.6))
+    sets = N._sets(3, 30, None)
+    import pyarrow as pa
+
+    names = sorted(texts)
+    [rows] = sets([pa.record_batch([pa.array(names), pa.array([""] * len(names)), pa.array([texts[n] for n in names])], ["id", "within", "text"])])
+    entries = sorted((p, c, s) for p, c, s in ((p, c, s) for ps, c, s in zip(rows.column("paths").to_pylist(), rows.column("class").to_pylist(), rows.column("sketch").to_pylist()) for p in ps))
+    zero = lambda n: pa.array([0] * n, pa.int32())
+    batch = lambda e: pa.record_batch([pa.array([x[0] for x in e]), zero(len(e)), zero(len(e)), zero(len(e)), pa.array([x[1] for x in e]), pa.array([x[2] for x in e])], ["path", "x", "y", "own", "class", "sketch"])
+    name = dict(zip(rows.column("class").to_pylist(), rows.column("id").to_pylist()))
+    got = {tuple(sorted((name[a], name[b]))) for out in work(batch(entries[i : i + 3]) for i in range(0, len(entries), 3)) for a, b in zip(out.column("a").to_pylist(), out.column("b").to_pylist())}
+    assert want <= got
