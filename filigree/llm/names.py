@@ -38,11 +38,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import reduce
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filigree.llm.canonical import canonical_text
@@ -238,7 +237,7 @@ def keys_of(forms: list[Form], dates: list[str]) -> list[tuple[int, str, int, in
 
 PROFILE = "profile bigint, company string, forms array<struct<kind:string,last:string,given:string,suffix:string>>, date string"
 _FORM = "struct<kind:string,last:string,given:string,suffix:string,state:int>"
-KEY = "entity bigint, version int, form int, key bigint, role int, rung int, mark string, dated boolean"
+KEY = "entity bigint, form int, key bigint, role int, rung int, known bigint, unknown bigint, doubt boolean, dated boolean"
 
 
 def _profiles(batches):
@@ -268,7 +267,7 @@ def _profiles(batches):
 
 
 def _make_keys(near: bool):
-    """Rows (entity, version, company, forms, dates) to ``KEY``."""
+    """Rows (entity, company, forms, dates) to ``KEY``."""
     make = keys_of if near else exact_keys
 
     def work(batches):
@@ -279,13 +278,15 @@ def _make_keys(near: bool):
                 for form, key, role, rung, mark in make(ordered, dates):
                     index.append(i)
                     dated.append(bool(dates))
-                    rows.append((form, xxhash.xxh3_64_intdigest(f"{company}|{key}".encode()) - (1 << 63), role, rung, mark or None))
-            cols = list(zip(*rows)) if rows else [()] * 5
-            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
+                    sign = xxhash.xxh3_64_intdigest(mark) >> 1 if mark and role == STRONG else None
+                    sure = not mark.startswith("?")
+                    rows.append((form, xxhash.xxh3_64_intdigest(f"{company}|{key}".encode()) - (1 << 63), role, rung, sign if sure else None, None if sure else sign, mark == "?"))
+            cols = list(zip(*rows)) if rows else [()] * 7
+            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
             take = pa.array(index, pa.int64())
             yield pa.record_batch(
-                [b.column("entity").take(take), b.column("version").take(take), *[pa.array(c, k) for c, k in zip(cols, kinds)], pa.array(dated, pa.bool_())],
-                ["entity", "version", "form", "key", "role", "rung", "mark", "dated"],
+                [b.column("entity").take(take), *[pa.array(c, k) for c, k in zip(cols, kinds)], pa.array(dated, pa.bool_())],
+                ["entity", "form", "key", "role", "rung", "known", "unknown", "doubt", "dated"],
             )
 
     return work
@@ -315,62 +316,61 @@ def given_states(profiles: DataFrame) -> DataFrame:
     return known.withColumn("state", F.lit(KNOWN)).unionByName(mistyped.withColumn("state", F.lit(MISTYPED)))
 
 
-def _links(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((entity, to), (entity, to, ...)): links of strong spellings, and of weak ones; ``keys`` holds ``KEY`` with the suffix of the entity."""
+def _links(keys: DataFrame) -> DataFrame:
+    """(entity, to): who may merge with whom; ``keys`` holds ``KEY`` with the suffix of the entity, 0 for none."""
     firm = F.col("role") < WEAK
-    good = firm & F.col("mark").isNull()
+    good = firm & ~F.col("doubt")
     strong = F.col("role") == STRONG
-    unknown = F.col("mark").startswith("?")
+    suffixed = F.col("suffix") > 0
     pick = lambda f, cond, c="entity": f(F.when(cond, F.col(c)))
+    # numbers only, so that all of it is hashed
     by_suffix = keys.groupBy("key", "suffix").agg(
         F.min("entity").alias("lo"), F.max("entity").alias("hi"), pick(F.min, firm).alias("firm_lo"), pick(F.max, firm).alias("firm_hi"), pick(F.min, good).alias("good_lo"), pick(F.max, good).alias("good_hi"),
-        pick(F.max, firm, "dated").alias("dated"), pick(F.min, strong).alias("own"),
-        pick(F.min, strong & ~unknown, "mark").alias("k_lo"), pick(F.max, strong & ~unknown, "mark").alias("k_hi"), pick(F.min, strong & unknown, "mark").alias("u_lo"), pick(F.max, strong & unknown, "mark").alias("u_hi"),
+        F.max(F.when(firm, F.col("dated").cast("int"))).alias("dated"), pick(F.min, strong).alias("own"),
+        F.min("known").alias("k_lo"), F.max("known").alias("k_hi"), F.min("unknown").alias("u_lo"), F.max("unknown").alias("u_hi"),
     )
-    least, most = ["lo", "firm_lo", "good_lo", "k_lo", "u_lo"], ["hi", "firm_hi", "good_hi", "k_hi", "u_hi"]
-    # no more entries in the map than there are suffixes and legal forms
     by_key = by_suffix.groupBy("key").agg(
-        *[F.min(c).alias(c) for c in least], *[F.max(c).alias(c) for c in most], F.max("dated").alias("any_dated"), F.min("suffix").alias("s_lo"), F.max("suffix").alias("s_hi"),
-        F.map_from_entries(F.collect_list(F.struct(F.coalesce("suffix", F.lit("")).alias("suffix"), "own"))).alias("own"),
+        *[F.min(c).alias(c) for c in ("lo", "firm_lo", "good_lo", "k_lo", "u_lo")], *[F.max(c).alias(c) for c in ("hi", "firm_hi", "good_hi", "k_hi", "u_hi")], F.max("dated").alias("any_dated"),
+        F.min(F.when(suffixed, F.col("suffix"))).alias("s_lo"), F.max(F.when(suffixed, F.col("suffix"))).alias("s_hi"), F.min(F.when(suffixed, F.col("own"))).alias("own_with"), F.min(F.when(~suffixed, F.col("own"))).alias("own_bare"),
     )
-    view = keys.join(by_key.where("lo <> hi"), "key")
     apart = F.coalesce(F.col("s_lo") != F.col("s_hi"), F.lit(False))
     names_apart = F.coalesce(F.col("k_lo") != F.col("k_hi"), F.lit(False)) | F.coalesce(F.col("u_lo") != F.col("u_hi"), F.lit(False))
-    met = view.where(strong & ~names_apart & (F.col("suffix").isNotNull() | ~apart))
-    same = met.select("entity", F.col("own")[F.coalesce("suffix", F.lit(""))].alias("to"))
-    mixed = met.where("suffix is null and s_lo is not null").select("entity", F.col("own")[F.col("s_lo")].alias("to"))
-    by_strong = same.unionByName(mixed).where("to <> entity").distinct()
+    by_key = by_key.where("lo <> hi").withColumns({"apart": apart, "names_apart": names_apart})
+    told = keys.where(strong).select("entity", "key", "suffix").join(by_key.where("not names_apart").select("key", "apart", "own_with", "own_bare"), "key")
+    # profiles of one kind meet their like, those without a suffix also those with the only one there is
+    plain = told.where("not apart").select("entity", F.explode(F.array(F.when(suffixed, F.col("own_with")).otherwise(F.col("own_bare")), F.when(~suffixed, F.col("own_with")))).alias("to"))
+    several = told.where(F.col("apart") & suffixed).join(by_suffix.select("key", "suffix", "own"), ["key", "suffix"]).select("entity", F.col("own").alias("to"))
     # weak spellings: the rungs of their keys side by side
-    seen = view.where(F.col("role") == WEAK)
-    doubtful = F.col("mark").eqNullSafe("?")
-    seen = seen.withColumns({"c_lo": F.when(doubtful, F.col("good_lo")).otherwise(F.col("firm_lo")), "c_hi": F.when(doubtful, F.col("good_hi")).otherwise(F.col("firm_hi"))})
-    seen = seen.withColumn("suits", (F.col("suffix").isNull() | F.col("s_lo").isNull() | (F.col("s_lo") == F.col("suffix"))) & ~apart)
+    seen = keys.where(F.col("role") == WEAK).join(by_key, "key")
+    doubt = F.col("doubt")
+    seen = seen.withColumns({"c_lo": F.when(doubt, F.col("good_lo")).otherwise(F.col("firm_lo")), "c_hi": F.when(doubt, F.col("good_hi")).otherwise(F.col("firm_hi"))})
+    seen = seen.withColumn("suits", ((~suffixed | F.col("s_lo").isNull() | (F.col("s_lo") == F.col("suffix"))) & ~F.col("apart")).cast("int"))
     at = lambda c, rung, f: f(F.when(F.col("rung") == rung, F.col(c)))
     one = seen.groupBy("entity", "form").agg(
         *[at("c_lo", r, F.min).alias(f"lo{r}") for r in range(4)], *[at("c_hi", r, F.max).alias(f"hi{r}") for r in range(4)],
-        F.min(F.when((F.col("rung") == EXACT) & ~doubtful, F.col("lo"))).alias("alone"), F.max(F.col("dated")).alias("dated"), F.max(F.when(F.col("rung").isin(EXACT, NEAR), F.col("any_dated"))).alias("others_dated"),
+        F.min(F.when((F.col("rung") == EXACT) & ~doubt, F.col("lo"))).alias("alone"), F.max(F.col("dated").cast("int")).alias("dated"), F.max(F.when(F.col("rung").isin(EXACT, NEAR), F.col("any_dated"))).alias("others_dated"),
         F.min(F.when(F.col("rung") == EXACT, F.col("suits"))).alias("suits"),
     )
     unique = lambda r: F.col(f"lo{r}") == F.col(f"hi{r}")
     # the others tell dates and none of them is of the same year
-    veto = F.col("dated") & F.coalesce(F.col("others_dated"), F.lit(False)) & F.col("lo1").isNull() & F.col("lo3").isNull()
+    veto = (F.col("dated") == 1) & (F.coalesce("others_dated", F.lit(0)) == 1) & F.col("lo1").isNull() & F.col("lo3").isNull()
     exact = F.when(unique(EXACT) & ~veto, F.col("lo0")).when(unique(EXACT_DATED), F.col("lo1"))
     near = F.when(unique(NEAR) & ~veto, F.col("lo2")).when(unique(NEAR_DATED), F.col("lo3"))
     to = F.when(F.col("lo0").isNotNull(), exact).when(F.col("lo2").isNotNull(), near).otherwise(F.col("alone"))
-    by_weak = one.where(F.coalesce("suits", F.lit(True))).select("entity", to.alias("to")).where("to <> entity").distinct()
-    return by_strong, by_weak
+    weak = one.where(F.coalesce("suits", F.lit(1)) == 1).select("entity", to.alias("to"))
+    return plain.unionByName(several).unionByName(weak).where("to <> entity").distinct()
 
 
 def _moves(keys: DataFrame, entities: DataFrame, near: bool) -> DataFrame:
     """(entity, to): who merges into whom in this round."""
-    by_strong, by_weak = _links(keys)
-    links = stage((by_strong.unionByName(by_weak) if near else by_strong).distinct(), label="name-links")
     suffix = entities.select("entity", "suffix")
-    links = links.join(suffix.withColumnRenamed("suffix", "sa"), "entity").join(suffix.withColumnsRenamed({"entity": "to", "suffix": "sb"}), "to")
-    same = links.where("sa <=> sb").select("entity", "to")
+    links = _links(keys).join(suffix.withColumnRenamed("suffix", "sa"), "entity").join(suffix.withColumnsRenamed({"entity": "to", "suffix": "sb"}), "to")
+    links = stage(links.where("sa = sb or least(sa, sb) = 0"), label="name-links")
+    same = links.where("sa = sb").select("entity", "to")
     if near:
         # from the side without a suffix; it waits while it merges with its like, and follows one suffix only
-        bare = links.where("(sa is null) <> (sb is null)").select(F.when(F.col("sa").isNull(), F.col("entity")).otherwise(F.col("to")).alias("bare"), F.when(F.col("sa").isNull(), F.col("to")).otherwise(F.col("entity")).alias("with"), F.coalesce("sa", "sb").alias("suffix"))
+        first = F.col("sa") == 0
+        bare = links.where("sa <> sb").select(F.when(first, F.col("entity")).otherwise(F.col("to")).alias("bare"), F.when(first, F.col("to")).otherwise(F.col("entity")).alias("with"), F.greatest("sa", "sb").alias("suffix"))
         busy = same.select(F.explode(F.array("entity", "to")).alias("bare")).distinct()
         sure = bare.groupBy("bare").agg(F.min("suffix").alias("s"), F.max("suffix").alias("t")).where("s = t").select("bare").join(busy, "bare", "left_anti")
         same = same.unionByName(bare.join(sure, "bare").select(F.col("bare").alias("entity"), F.col("with").alias("to")))
@@ -380,10 +380,13 @@ def _moves(keys: DataFrame, entities: DataFrame, near: bool) -> DataFrame:
     return moves.join(beyond, "to", "left").select("entity", F.coalesce("beyond", "to").alias("to"))
 
 
-def _one_suffix(forms: str):
-    """The suffix of all spellings that have one, null where there are two."""
+_KINDS = sorted({*SUFFIXES.values(), *LEGAL.values()})
+
+
+def _one_suffix(forms: str) -> Column:
+    """The number of the suffix of all spellings that have one, 0 where there is none or two."""
     said = F.array_distinct(F.filter(F.transform(forms, lambda f: f["suffix"]), lambda x: x != ""))
-    return F.when(F.size(said) == 1, said[0])
+    return F.when(F.size(said) == 1, F.array_position(F.array(*map(F.lit, _KINDS)), said[0]).cast("int")).otherwise(F.lit(0))
 
 
 def resolve(records: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -398,38 +401,51 @@ def resolve(records: DataFrame, max_rounds: int = 60) -> DataFrame:
     forms = profiles.select("profile", "company", "date", F.explode("forms").alias("f")).withColumn("given", F.when(F.col("f.kind") == "full", F.col("f.given")))
     told = forms.join(states, "given", "left").select("profile", "company", "date", F.struct("f.*", F.coalesce("state", F.lit(UNKNOWN)).alias("state")).cast(_FORM).alias("f"))
     entities = told.groupBy("profile").agg(F.first("company").alias("company"), F.collect_set("f").alias("forms"), F.first("date").alias("date"))
-    entities = entities.select(F.col("profile").alias("entity"), F.lit(0).alias("version"), "company", "forms", F.when(F.col("date") == "", F.array().cast("array<string>")).otherwise(F.array("date")).alias("dates"), _one_suffix("forms").alias("suffix"))
+    entities = entities.select(F.col("profile").alias("entity"), "company", "forms", F.when(F.col("date") == "", F.array().cast("array<string>")).otherwise(F.array("date")).alias("dates"), _one_suffix("forms").alias("suffix"))
     entities = stage(entities, label="name-entities")
-    labels = entities.select(F.col("entity").alias("profile"), "entity")
-    version = 0
+    all_profiles = entities.select(F.col("entity").alias("profile"), "entity")
+    count, rounds, history = entities.count(), 0, []
     for near in (False, True):
-        # few bytes become many keys: the tasks are as many as the records are, not as their bytes are
-        made = lambda df: stage(_spread(df).mapInArrow(_make_keys(near), KEY), label="name-keys")  # noqa: E731, B023
-        keys = [made(entities)]
+        made = lambda df, n: stage(_spread(df, n).mapInArrow(_make_keys(near), KEY), label="name-keys")  # noqa: E731, B023
+        keys, alone = made(entities, count), None
+        if near:
+            # keys of a single profile wait until a merged one asks for them
+            shared = stage(keys.groupBy("key").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")).where("lo <> hi").select("key"), label="shared-keys")
+            alone = stage(keys.join(shared, "key", "left_anti").select(*keys.columns), label="keys-of-one")
+            keys = stage(keys.join(shared, "key", "left_semi").select(*keys.columns), label="keys-of-several")
         while True:
-            version += 1
-            if version > max_rounds:
+            rounds += 1
+            if rounds > max_rounds:
                 raise RuntimeError(f"names still merged after {max_rounds} rounds")
-            current = entities.select("entity", "version", "suffix")
-            valid = reduce(DataFrame.unionByName, keys).join(current, ["entity", "version"])
-            moves = stage(_moves(valid, entities, near), label="name-moves")
-            if not moves.limit(1).count():
+            moves = stage(_moves(keys.join(entities.select("entity", "suffix"), "entity"), entities, near), label="name-moves")
+            merged = moves.count()
+            if not merged:
                 break
+            history.append(moves)
             touched = moves.select(F.explode(F.array("entity", "to")).alias("entity")).distinct()
             changed = entities.join(touched, "entity", "left_semi").join(moves, "entity", "left").select(F.coalesce("to", "entity").alias("entity"), "company", "forms", "dates")
             changed = changed.groupBy("entity").agg(F.first("company").alias("company"), F.array_distinct(F.flatten(F.collect_list("forms"))).alias("forms"), F.array_distinct(F.flatten(F.collect_list("dates"))).alias("dates"))
-            changed = stage(changed.select("entity", F.lit(version).alias("version"), "company", "forms", "dates", _one_suffix("forms").alias("suffix")), label="name-entities")
-            keys.append(made(changed))
+            changed = stage(changed.select("entity", "company", "forms", "dates", _one_suffix("forms").alias("suffix")), label="name-entities")
             entities = stage(entities.join(touched, "entity", "left_anti").unionByName(changed), label="name-entities")
-            labels = stage(labels.join(moves, "entity", "left").select("profile", F.coalesce("to", "entity").alias("entity")), label="labels")
-    return members.join(labels, "profile").select("id", "entity").distinct()
+            if not near:
+                # what is left of these merges comes with the others
+                break
+            new = made(changed, merged)
+            asked = alone.join(new.select("key").distinct(), "key", "left_semi").select(*keys.columns)
+            keys = stage(keys.unionByName(asked).join(touched, "entity", "left_anti").unionByName(new), label="name-keys")
+    labels = all_profiles
+    for moves in history:
+        labels = labels.join(moves, "entity", "left").select("profile", F.coalesce("to", "entity").alias("entity"))
+    return members.join(stage(labels, label="name-labels"), "profile").select("id", "entity").distinct()
 
 
-RECORDS_A_TASK = 20_000
+PROFILES_A_TASK, PROFILES_WORTH_A_TASK = 20_000, 500
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    return df.repartition(max(1, -(-df.count() // RECORDS_A_TASK), min(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // 1000))), "entity")
+def _spread(df: DataFrame, n: int) -> DataFrame:
+    """Few bytes become many keys: the tasks are as many as the profiles ask for, not their bytes."""
+    tasks = max(-(-n // PROFILES_A_TASK), min(df.sparkSession.sparkContext.defaultParallelism, -(-n // PROFILES_WORTH_A_TASK)), 1)
+    return df.repartition(tasks, "entity")
 
 
 PAIR_BLOCK = 2_000
