@@ -28,7 +28,8 @@ alone otherwise. Which merges happen depends on what profiles hold and on
 nothing else.
 
 Blocks are worked on by aggregates over a key, combined before the shuffle and
-by suffix first, never by pairs. Rounds are cut by written tables.
+by suffix first, never by pairs; after the first round only those that a merged
+profile has entered. Rounds are cut by written tables.
 
 Defined results: blank, null and placeholder names, and records without a
 company, are linked to nobody; repeated rows count once.
@@ -38,6 +39,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
@@ -237,7 +239,7 @@ def keys_of(forms: list[Form], dates: list[str]) -> list[tuple[int, str, int, in
 
 PROFILE = "profile bigint, company string, forms array<struct<kind:string,last:string,given:string,suffix:string>>, date string"
 _FORM = "struct<kind:string,last:string,given:string,suffix:string,state:int>"
-KEY = "entity bigint, form int, key bigint, role int, rung int, known bigint, unknown bigint, doubt boolean, dated boolean"
+KEY = "entity bigint, suffix int, form int, key bigint, role int, rung int, known bigint, unknown bigint, doubt boolean, dated boolean"
 
 
 def _profiles(batches):
@@ -267,7 +269,7 @@ def _profiles(batches):
 
 
 def _make_keys(near: bool):
-    """Rows (entity, company, forms, dates) to ``KEY``."""
+    """Rows (entity, company, forms, dates, suffix) to ``KEY``."""
     make = keys_of if near else exact_keys
 
     def work(batches):
@@ -285,8 +287,8 @@ def _make_keys(near: bool):
             kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
             take = pa.array(index, pa.int64())
             yield pa.record_batch(
-                [b.column("entity").take(take), *[pa.array(c, k) for c, k in zip(cols, kinds)], pa.array(dated, pa.bool_())],
-                ["entity", "form", "key", "role", "rung", "known", "unknown", "doubt", "dated"],
+                [b.column("entity").take(take), b.column("suffix").take(take), *[pa.array(c, k) for c, k in zip(cols, kinds)], pa.array(dated, pa.bool_())],
+                ["entity", "suffix", "form", "key", "role", "rung", "known", "unknown", "doubt", "dated"],
             )
 
     return work
@@ -316,8 +318,17 @@ def given_states(profiles: DataFrame) -> DataFrame:
     return known.withColumn("state", F.lit(KNOWN)).unionByName(mistyped.withColumn("state", F.lit(MISTYPED)))
 
 
-def _links(keys: DataFrame) -> DataFrame:
-    """(entity, to): who may merge with whom; ``keys`` holds ``KEY`` with the suffix of the entity, 0 for none."""
+def _asked(keys: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the keys those whose rows tell more since the rows ``new`` came, whole keys, and the weak spellings (entity, form) that follow such a key, with all their keys."""
+    active = new.select("key").distinct()
+    weak = keys.where(F.col("role") == WEAK)
+    units = stage(weak.join(active, "key", "left_semi").select("entity", "form").distinct(), label="weak-spellings")
+    needed = active.unionByName(weak.join(units, ["entity", "form"], "left_semi").select("key")).distinct()
+    return stage(keys.join(needed, "key", "left_semi").select(*keys.columns), label="keys-at-hand"), units
+
+
+def _links(keys: DataFrame, units: DataFrame | None) -> DataFrame:
+    """(entity, sa, to): who may merge with whom, with the first one's suffix, 0 for none; of weak spellings only ``units``, where given."""
     firm = F.col("role") < WEAK
     good = firm & ~F.col("doubt")
     strong = F.col("role") == STRONG
@@ -338,15 +349,17 @@ def _links(keys: DataFrame) -> DataFrame:
     by_key = by_key.where("lo <> hi").withColumns({"apart": apart, "names_apart": names_apart})
     told = keys.where(strong).select("entity", "key", "suffix").join(by_key.where("not names_apart").select("key", "apart", "own_with", "own_bare"), "key")
     # profiles of one kind meet their like, those without a suffix also those with the only one there is
-    plain = told.where("not apart").select("entity", F.explode(F.array(F.when(suffixed, F.col("own_with")).otherwise(F.col("own_bare")), F.when(~suffixed, F.col("own_with")))).alias("to"))
-    several = told.where(F.col("apart") & suffixed).join(by_suffix.select("key", "suffix", "own"), ["key", "suffix"]).select("entity", F.col("own").alias("to"))
+    plain = told.where("not apart").select("entity", F.col("suffix").alias("sa"), F.explode(F.array(F.when(suffixed, F.col("own_with")).otherwise(F.col("own_bare")), F.when(~suffixed, F.col("own_with")))).alias("to"))
+    several = told.where(F.col("apart") & suffixed).join(by_suffix.select("key", "suffix", "own"), ["key", "suffix"]).select("entity", F.col("suffix").alias("sa"), F.col("own").alias("to"))
     # weak spellings: the rungs of their keys side by side
-    seen = keys.where(F.col("role") == WEAK).join(by_key, "key")
+    seen = keys.where(F.col("role") == WEAK)
+    seen = (seen if units is None else seen.join(units, ["entity", "form"], "left_semi")).join(by_key, "key")
     doubt = F.col("doubt")
     seen = seen.withColumns({"c_lo": F.when(doubt, F.col("good_lo")).otherwise(F.col("firm_lo")), "c_hi": F.when(doubt, F.col("good_hi")).otherwise(F.col("firm_hi"))})
     seen = seen.withColumn("suits", ((~suffixed | F.col("s_lo").isNull() | (F.col("s_lo") == F.col("suffix"))) & ~F.col("apart")).cast("int"))
     at = lambda c, rung, f: f(F.when(F.col("rung") == rung, F.col(c)))
     one = seen.groupBy("entity", "form").agg(
+        F.max("suffix").alias("sa"),
         *[at("c_lo", r, F.min).alias(f"lo{r}") for r in range(4)], *[at("c_hi", r, F.max).alias(f"hi{r}") for r in range(4)],
         F.min(F.when((F.col("rung") == EXACT) & ~doubt, F.col("lo"))).alias("alone"), F.max(F.col("dated").cast("int")).alias("dated"), F.max(F.when(F.col("rung").isin(EXACT, NEAR), F.col("any_dated"))).alias("others_dated"),
         F.min(F.when(F.col("rung") == EXACT, F.col("suits"))).alias("suits"),
@@ -357,14 +370,13 @@ def _links(keys: DataFrame) -> DataFrame:
     exact = F.when(unique(EXACT) & ~veto, F.col("lo0")).when(unique(EXACT_DATED), F.col("lo1"))
     near = F.when(unique(NEAR) & ~veto, F.col("lo2")).when(unique(NEAR_DATED), F.col("lo3"))
     to = F.when(F.col("lo0").isNotNull(), exact).when(F.col("lo2").isNotNull(), near).otherwise(F.col("alone"))
-    weak = one.where(F.coalesce("suits", F.lit(1)) == 1).select("entity", to.alias("to"))
+    weak = one.where(F.coalesce("suits", F.lit(1)) == 1).select("entity", "sa", to.alias("to"))
     return plain.unionByName(several).unionByName(weak).where("to <> entity").distinct()
 
 
-def _moves(keys: DataFrame, entities: DataFrame, near: bool) -> DataFrame:
+def _moves(keys: DataFrame, units: DataFrame | None, entities: DataFrame, near: bool) -> DataFrame:
     """(entity, to): who merges into whom in this round."""
-    suffix = entities.select("entity", "suffix")
-    links = _links(keys).join(suffix.withColumnRenamed("suffix", "sa"), "entity").join(suffix.withColumnsRenamed({"entity": "to", "suffix": "sb"}), "to")
+    links = _links(keys, units).join(entities.select(F.col("entity").alias("to"), F.col("suffix").alias("sb")), "to")
     links = stage(links.where("sa = sb or least(sa, sb) = 0"), label="name-links")
     same = links.where("sa = sb").select("entity", "to")
     if near:
@@ -407,17 +419,18 @@ def resolve(records: DataFrame, max_rounds: int = 60) -> DataFrame:
     count, rounds, history = entities.count(), 0, []
     for near in (False, True):
         made = lambda df, n: stage(_spread(df, n).mapInArrow(_make_keys(near), KEY), label="name-keys")  # noqa: E731, B023
-        keys, alone = made(entities, count), None
+        keys, alone, units = made(entities, count), None, None
         if near:
             # keys of a single profile wait until a merged one asks for them
             shared = stage(keys.groupBy("key").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")).where("lo <> hi").select("key"), label="shared-keys")
             alone = stage(keys.join(shared, "key", "left_anti").select(*keys.columns), label="keys-of-one")
             keys = stage(keys.join(shared, "key", "left_semi").select(*keys.columns), label="keys-of-several")
+        at_hand, before = keys, len(history)
         while True:
             rounds += 1
             if rounds > max_rounds:
                 raise RuntimeError(f"names still merged after {max_rounds} rounds")
-            moves = stage(_moves(keys.join(entities.select("entity", "suffix"), "entity"), entities, near), label="name-moves")
+            moves = stage(_moves(at_hand, units, entities, near), label="name-moves")
             merged = moves.count()
             if not merged:
                 break
@@ -431,8 +444,12 @@ def resolve(records: DataFrame, max_rounds: int = 60) -> DataFrame:
                 # what is left of these merges comes with the others
                 break
             new = made(changed, merged)
-            asked = alone.join(new.select("key").distinct(), "key", "left_semi").select(*keys.columns)
+            # keys set aside are of no use where their profile has merged since
+            merged_since = reduce(DataFrame.unionByName, history[before:]).select(F.explode(F.array("entity", "to")).alias("entity")).distinct()
+            asked = alone.join(new.select("key").distinct(), "key", "left_semi").join(merged_since, "entity", "left_anti").select(*keys.columns)
             keys = stage(keys.unionByName(asked).join(touched, "entity", "left_anti").unionByName(new), label="name-keys")
+            # a key that nobody with news has tells what it told before
+            at_hand, units = _asked(keys, new)
     labels = all_profiles
     for moves in history:
         labels = labels.join(moves, "entity", "left").select("profile", F.coalesce("to", "entity").alias("entity"))
