@@ -36,6 +36,8 @@ from pyspark.sql.window import Window
 
 from filigree.runtime import bound_batches, stage
 
+#: Bytes of the keys that a worker works out at once, rows it searches together, and vectors that are compared with all others at once.
+PROBE_BYTES, ROWS_AT_ONCE, LACKING_ROWS = 16 << 20, 100_000, 10_000
 VALUES_PER_FUNCTION = 3.9  # different values of one function at width 1.2 on unit vectors, as measured
 
 
@@ -141,7 +143,8 @@ def _scatter(t: Tables, hot: dict[tuple[int, int], int]):
 
     def work(batches):
         tables, sets = t.make(), t.sets()
-        for b in batches:
+        step = max(1, PROBE_BYTES // (8 * len(sets)))
+        for b in (whole.slice(lo, step) for whole in batches for lo in range(0, whole.num_rows, step)):
             x = _vectors(b, t.dim)
             cls = b.column("class").to_numpy()
             spread = (cls.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
@@ -178,19 +181,17 @@ def _scatter(t: Tables, hot: dict[tuple[int, int], int]):
     return work
 
 
-def nearest(x: np.ndarray, cls: np.ndarray, entry: np.ndarray, query: np.ndarray, keys: np.ndarray, home: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class, candidates n x k, cosines n x k) of the queries of one task; -2 where there are fewer than k.
+def nearest(x: np.ndarray, cls: np.ndarray, at: np.ndarray, mine: np.ndarray, visits: np.ndarray, home: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, candidates n x k, cosines n x k) of the queries ``at`` of one task among its entries ``mine``; -2 where there are fewer than k.
 
-    ``keys`` are the visited bucket keys of the queries, with those outside the cell masked by ``home`` of no entry.
+    ``visits`` are the bucket keys that the queries visit, ``home`` the buckets of the entries.
     """
-    at, mine = np.flatnonzero(query), np.flatnonzero(entry)
     best = np.full((len(at), k), -2, np.float32)
     who = np.full((len(at), k), -1, np.int64)
-    order = np.argsort(home[mine], kind="stable")
+    order = np.argsort(home, kind="stable")
     mine = mine[order]
-    buckets, first = np.unique(home[mine], return_index=True)
+    buckets, first = np.unique(home[order], return_index=True)
     ends = np.append(first[1:], len(mine))
-    visits = keys[at]
     j = np.minimum(np.searchsorted(buckets, visits), len(buckets) - 1) if len(buckets) else np.zeros(visits.shape, np.int64)
     hit = buckets[j] == visits if len(buckets) else np.zeros(visits.shape, bool)
     q, col = np.nonzero(hit)
@@ -220,27 +221,69 @@ def nearest(x: np.ndarray, cls: np.ndarray, entry: np.ndarray, query: np.ndarray
 
 
 def _search(t: Tables, k: int):
-    def work(batches):
-        parts = list(batches)
-        if not parts:
-            return
-        tables, sets = t.make(), t.sets()
-        rows = pa.Table.from_batches(parts)
+    """Rows of ``_scatter``, sorted by task, to (class, other, cosine); whole tasks at a time."""
+
+    def searched(rows: pa.Table, tables, sets):
         number, cell, s, u, entry, query, cls = (rows.column(c).to_numpy() for c in ("table", "cell", "s", "u", "entry", "query", "class"))
         x = np.frombuffer(b"".join(v for chunk in rows.column("vector").chunks for v in chunk.to_pylist()), np.float32).reshape(-1, t.dim)
-        order = np.lexsort((u, s, cell, number))
-        number, cell, s, u, entry, query, cls, x = (v[order] for v in (number, cell, s, u, entry, query, cls, x))
-        edge = np.flatnonzero(np.concatenate(([True], (np.diff(number) != 0) | (np.diff(cell) != 0) | (np.diff(s) != 0) | (np.diff(u) != 0), [True]))) if len(cell) else np.zeros(1, np.int64)
-        for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
-            if not entry[a:z].any():
+        for a, z in zip(*_tasks(number, cell, s, u)):
+            mine, at = np.flatnonzero(entry[a:z]) + a, np.flatnonzero(query[a:z]) + a
+            if not len(mine):
+                continue
+            home = visited(x[mine], tables[number[a]], t.width, sets[:1])[0][:, 0]
+            for part in np.array_split(at, -(-len(at) * len(sets) * 8 // PROBE_BYTES) or 1):
+                keys, cells = visited(x[part], tables[number[a]], t.width, sets)
+                # a bucket of another cell is not here; -1 as the key would be found by no entry
+                keys[cells != cell[a]] = np.int64(-(1 << 63))
+                who, found, cosine = nearest(x, cls, part, mine, keys, home, k)
+                r, c = np.nonzero(cosine > -2)
+                yield pa.record_batch([pa.array(who[r]), pa.array(found[r, c]), pa.array(cosine[r, c])], ["class", "other", "cosine"])
+
+    def work(batches):
+        tables, sets = t.make(), t.sets()
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for b in batches:
+            held.append(b)
+            size += b.num_rows
+            if size < ROWS_AT_ONCE:
                 continue
-            keys, cells = visited(x[a:z], tables[number[a]], t.width, sets)
-            home = keys[:, 0].copy()
-            # a bucket of another cell is not here; -1 as the key would be found by no entry
-            keys[cells != cell[a]] = np.int64(-(1 << 63))
-            who, found, cosine = nearest(x[a:z], cls[a:z], entry[a:z], query[a:z], keys, home, k)
-            r, c = np.nonzero(cosine > -2)
-            yield pa.record_batch([pa.array(who[r]), pa.array(found[r, c]), pa.array(cosine[r, c])], ["class", "other", "cosine"])
+            rows = pa.Table.from_batches(held)
+            # the last task may go on in the next batch
+            cut = _tasks(*(rows.column(c).to_numpy() for c in ("table", "cell", "s", "u")))[0][-1]
+            if cut:
+                yield from searched(rows.slice(0, cut), tables, sets)
+                rows = rows.slice(cut)
+            held, size = rows.combine_chunks().to_batches(), rows.num_rows
+        if held:
+            yield from searched(pa.Table.from_batches(held), tables, sets)
+
+    return work
+
+
+def _tasks(*names: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where tasks begin and end in sorted rows."""
+    n = len(names[0])
+    edge = np.flatnonzero(np.concatenate(([n > 0], np.any([np.diff(v) != 0 for v in names], axis=0), [n > 0]))).tolist() if n else [0]
+    return edge[:-1], edge[1:]
+
+
+def _against_all(of: np.ndarray, asked: np.ndarray, dim: int, k: int):
+    """Rows (class, vector) to the k most similar of each part of them to each of the vectors asked for."""
+
+    def work(batches):
+        best, who = np.full((len(of), k), -2, np.float32), np.full((len(of), k), -1, np.int64)
+        for b in batches:
+            x, cls = _vectors(b, dim), b.column("class").to_numpy()
+            for lo in range(0, len(of), 1024):
+                part = slice(lo, lo + 1024)
+                cosine = asked[part] @ x.T
+                cosine[of[part, None] == cls[None, :]] = -2
+                both, names = np.concatenate((best[part], cosine), axis=1), np.concatenate((who[part], np.broadcast_to(cls, cosine.shape)), axis=1)
+                top = np.argpartition(-both, k - 1, axis=1)[:, :k]
+                best[part], who[part] = np.take_along_axis(both, top, 1), np.take_along_axis(names, top, 1)
+        r, c = np.nonzero(best > -2)
+        yield pa.record_batch([pa.array(of[r]), pa.array(who[r, c]), pa.array(best[r, c])], ["class", "other", "cosine"])
 
     return work
 
@@ -270,7 +313,17 @@ def neighbours(
     # no more than tables * n / cell_rows lines
     hot = {(r.table, r.cell): -(-r.n // cell_rows) for r in crowded.collect()}
     sent = unit.mapInArrow(_scatter(t, hot), "table bigint, cell bigint, s bigint, u bigint, entry boolean, query boolean, class bigint, vector binary")
-    found = sent.repartition("table", "cell", "s", "u").mapInArrow(_search(t, k), "class bigint, other bigint, cosine float")
+    tasks = sent.repartition("table", "cell", "s", "u").sortWithinPartitions("table", "cell", "s", "u")
+    found = stage(tasks.mapInArrow(_search(t, k), "class bigint, other bigint, cosine float"), label="similar-vectors")
+    # vectors whose probes met too few others are compared with all, some at a time
+    enough = found.groupBy("class").agg(F.countDistinct("other").alias("n")).where(F.col("n") >= min(k, n - 1)).select("class")
+    lacking = stage(unit.join(enough, "class", "left_anti"), label="lonely-vectors") if n > 1 else unit.limit(0)
+    lonely = lacking.count()
+    lots = -(-lonely // LACKING_ROWS)
+    for lot in range(lots):
+        few = lacking.where(F.pmod(F.xxhash64("class", F.lit(3)), F.lit(lots)) == lot).select("class", "vector").toArrow()
+        of, asked = few.column("class").to_numpy(), np.frombuffer(b"".join(few.column("vector").to_pylist()), np.float32).reshape(-1, dim)
+        found = found.unionByName(unit.mapInArrow(_against_all(of, asked, dim, k), "class bigint, other bigint, cosine float"))
     once = found.repartition("class").groupBy("class", "other").agg(F.max("cosine").alias("cosine"))
     best = once.withColumn("r", F.row_number().over(Window.partitionBy("class").orderBy(F.desc("cosine"), "other"))).where(F.col("r") <= k).drop("r")
     # of a class only its k + 1 smallest keys can be anyone's neighbour

@@ -66,3 +66,46 @@ def test_probing_order_is_ascending_and_valid():
     order = V.probing_order(4, 1.2, 60)
     assert order[0] == () and len(set(order)) == len(order)
     assert all(7 - r not in s for s in order for r in s)
+
+
+def test_outliers_find_as_many_as_there_are(spark):
+    """Vectors that stand alone may meet nobody in their buckets."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate((_clustered(1200, seed=6), 3 * rng.standard_normal((40, 16)))).astype(np.float32)
+    rows = [(f"v{i:05d}", v.tolist()) for i, v in enumerate(x)]
+    got = _run(spark, rows, bucket_rows=1, probes=2)
+    assert len(got) == len(x) and all(len(v) == 5 for v in got.values())
+
+
+def test_lonely_vectors_are_compared_with_all():
+    import pyarrow as pa
+
+    x = _clustered(600, seed=3)
+    unit = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    of = np.arange(0, len(x), 7)
+    batches = [pa.record_batch([pa.array(np.arange(lo, min(lo + 50, len(x)))), pa.array([v.tobytes() for v in unit[lo : lo + 50]], pa.binary())], ["class", "vector"]) for lo in range(0, len(x), 50)]
+    [out] = V._against_all(of, unit[of], 16, 5)(iter(batches))
+    got = {}
+    for a, b in zip(out.column("class").to_pylist(), out.column("other").to_pylist()):
+        got.setdefault(a, set()).add(b)
+    want = _brute(x, 5)
+    assert got == {int(i): set(want[i].tolist()) for i in of}
+
+
+def test_small_lots_change_nothing(spark, monkeypatch):
+    x = _clustered(600, seed=3)
+    rows = [(f"v{i:05d}", v.tolist()) for i, v in enumerate(x)]
+    whole = _run(spark, rows)
+    t = V.Tables(16, 2, 3, 1, 1.2, 20, 7)
+    import pyarrow as pa
+
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    batch = pa.record_batch([pa.array(np.arange(len(x))), pa.array([v.tobytes() for v in unit.astype(np.float32)], pa.binary())], ["class", "vector"])
+    [sent] = [pa.Table.from_batches(list(V._scatter(t, {})(iter([batch]))))]
+    sent = sent.sort_by([("table", "ascending"), ("cell", "ascending"), ("s", "ascending"), ("u", "ascending")])
+    out = []
+    for rows_at_once, size in ((10**9, 10**6), (50, 37)):
+        monkeypatch.setattr(V, "ROWS_AT_ONCE", rows_at_once)
+        monkeypatch.setattr(V, "PROBE_BYTES", 1 << 20 if rows_at_once > 50 else 2000)
+        out.append({(a, b) for r in V._search(t, 5)(iter(sent.to_batches(max_chunksize=size))) for a, b in zip(r.column("class").to_pylist(), r.column("other").to_pylist())})
+    assert out[0] == out[1] and whole
