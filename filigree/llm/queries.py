@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from filigree.llm import canonical, contamination, names, neardup, neighbors, packing, splitting, sql
-from filigree.runtime import padded_cik, plain_accession, shared_dir, table
+from filigree.runtime import padded_cik, plain_accession, shared_dir, stage, table
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +119,21 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", _pack_specs(spark, sf_dir)).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p3_pieces, p3_cover, p3_files, p4_found, p5_found, p5_classes, p6_containers, p7_found, p8_found)}
+def p6_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each spec: the texts packed, containers over capacity or with overlapping texts, texts cut that need not be, and texts whose pieces do not follow each other."""
+    specs = _pack_specs(spark, sf_dir)
+    packed = stage(packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", specs), label="packed")
+    room = F.create_map(*[x for s in specs for x in (F.lit(s.name), F.lit(s.capacity))])[F.col("spec_name")]
+    apart = F.create_map(*[x for s in specs for x in (F.lit(s.name), F.lit(s.separator))])[F.col("spec_name")]
+    end = F.lag(F.col("token_offset") + F.col("n_tokens") + apart).over(Window.partitionBy("spec_name", "container_id").orderBy("slot"))
+    boxes = packed.where("container_id is not null").withColumn("bad", (F.col("token_offset") + F.col("n_tokens") > room) | (F.col("token_offset") != F.coalesce(end, F.lit(0))))
+    boxes = boxes.groupBy("spec_name").agg(F.count_distinct(F.when(F.col("bad"), F.col("container_id"))).alias("over"))
+    texts = packed.groupBy("spec_name", "key").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("tokens"), F.max(F.col("token_start") + F.col("n_tokens")).alias("last"), F.count_distinct("piece_no").alias("numbers"))
+    texts = texts.groupBy("spec_name").agg(F.count("*").alias("texts"), F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= room)).alias("cut"), F.count_if((F.col("last") != F.col("tokens")) | (F.col("numbers") != F.col("pieces"))).alias("torn"))
+    return texts.join(boxes, "spec_name").select("spec_name", "texts", "over", "cut", "torn")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p3_pieces, p3_cover, p3_files, p4_found, p5_found, p5_classes, p6_containers, p6_check, p7_found, p8_found)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

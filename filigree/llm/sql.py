@@ -56,4 +56,6 @@ ORACLES: dict[str, str] = {
         )
         select distinct kind, x as key_a, y as key_b from shared join sizes s on s.n = p join sizes t on t.n = q
         where common >= 0.6::double * (s.size + t.size - common)""",
+    "p6_check": """
+        select spec_name, (select count(distinct doc_id) from documents) as texts, cast(0 as bigint) as over, cast(0 as bigint) as cut, cast(0 as bigint) as torn from pack_specs""",
 }
