@@ -50,23 +50,31 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
     return nodes.select("id").join(links.select(F.col("b").alias("id"), F.col("a").alias("root")), "id", "left").select("id", F.coalesce("root", "id").alias("component"))
 
 
-def communities(nodes: DataFrame, edges: DataFrame, rounds: int = 8) -> DataFrame:
-    """(id, community) by synchronous label propagation over weights; a tie goes to the least label, so that runs agree.
+def communities(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """(id, community) by label propagation over weights until no label changes; a tie goes to the least label, so that runs agree.
 
-    A node keeps its label unless a strictly heavier one surrounds it. Edges
-    need a column ``weight``.
+    A node keeps its label unless a strictly heavier one surrounds it. Nodes
+    take turns, so that neighbours do not swap labels for ever: at first half
+    of them at a time, fewer the longer it takes. Edges need a column
+    ``weight``. Labels that still change after ``max_rounds`` are an error.
     """
     sides = stage(both_ways(edges.select("src", "dst", "weight")), label="sides")
     labels = nodes.select("id", F.col("id").alias("community")).distinct()
-    for r in range(rounds):
+    still = 0
+    for r in range(max_rounds):
+        turns = 2 + r // 16
         votes = sides.join(labels.withColumnRenamed("id", "dst"), "dst").groupBy(F.col("src").alias("id"), "community").agg(F.sum("weight").alias("w"))
-        # half the nodes by turns, so that pairs do not swap labels for ever
-        turn = F.pmod(F.xxhash64("id"), F.lit(2)) == r % 2
+        turn = F.pmod(F.xxhash64("id"), F.lit(turns)) == r % turns
         best = votes.groupBy("id").agg(F.min_by("community", F.struct((-F.col("w")).alias("w"), F.col("community").alias("c"))).alias("to"), F.max("w").alias("top"))
         own = labels.join(votes, ["id", "community"], "left").select("id", "community", F.coalesce("w", F.lit(0.0)).alias("held"))
-        after = own.join(best, "id", "left").select("id", F.when(turn & (F.col("top") > F.col("held")), F.col("to")).otherwise(F.col("community")).alias("community"))
-        labels = stage(after, label="communities")
-    return labels
+        moves = turn & (F.col("top") > F.col("held"))
+        after = own.join(best, "id", "left").select("id", F.when(moves, F.col("to")).otherwise(F.col("community")).alias("community"), F.coalesce(moves, F.lit(False)).alias("moved"))
+        after = stage(after, label="communities")
+        still = 0 if after.where("moved").limit(1).count() else still + 1
+        labels = after.drop("moved")
+        if still >= turns:
+            return labels
+    raise RuntimeError(f"communities still change after {max_rounds} rounds")
 
 
 def statistics(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -53,15 +53,22 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("accession_number", F.date_format("period_end", "yyyy-MM-dd").alias("period_end"), F.col("attribute").alias("concept_name"), "id")
 
 
+def p2_column_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(concept_name, cells): values in each typed column of the wide table."""
+    whole = p2_wide_table(spark, sf_dir)
+    rows = table(spark, sf_dir, "concept_categories").select("concept_name", "data_type").distinct().collect()  # the columns of the result
+    names = sorted(r.concept_name for r in rows if r.concept_name is not None and r.data_type in KIND_OF)
+    counts = whole.agg(*[F.count(wide.column_name(c)).alias(c) for c in names])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("concept_name"), F.col(f"`{c}`").alias("cells")) for c in names]))).where("cells > 0")
+
+
 _NUMBER_SQL = r"""
     regexp_matches(
         regexp_replace(regexp_replace(trim(regexp_replace(value_text, '\s+', ' ', 'g')), '^\((.*)\)$', '\1'), '^([+-]?) ?([$€£¥]|[A-Z]{3}\b)? ?([+-]?)', ''),
         '^ ?(([0-9]{1,3}(,[0-9]{3})+|[0-9]+)(\.[0-9]*)?|\.[0-9]+|[0-9]{1,3}( [0-9]{3})+([.,][0-9]+)?|[0-9]{1,3}(\.[0-9]{3})+,[0-9]+|[0-9]{1,3}(\.[0-9]{3}){2,}|[0-9]+,[0-9]+) ?%?$')"""
 _DATE_SQL = "coalesce(" + ", ".join(f"try_strptime(trim(value_text), '{p}')" for p in ("%Y-%m-%d", "%Y/%m/%d", "%B %d, %Y", "%d %B %Y")) + ") is not null"
 
-QUERIES = {"p2_found": p2_found, "p2_wide_table": p2_wide_table}
-ORACLES = {
-    "p2_found": rf"""
+_CELLS_SQL = rf"""
         with named as (
             select f.id, f.accession_number, f.period_end, f.created_at, f.value, f.value_text, coalesce(c.concept_name, f.concept_name) as concept, c.concept_name is null as unlisted, c.data_type
             from facts f
@@ -75,7 +82,17 @@ ORACLES = {
                 when data_type = 'boolean' then lower(trim(value_text)) in ('true', 'false', 'yes', 'no')
                 when data_type = 'date' then {_DATE_SQL}
                 else trim(value_text) <> '' end
-        )
+        )"""
+
+QUERIES = {"p2_found": p2_found, "p2_wide_table": p2_wide_table, "p2_column_counts": p2_column_counts}
+ORACLES = {
+    "p2_found": f"""
+        {_CELLS_SQL}
         select acc as accession_number, strftime(period_end, '%Y-%m-%d') as period_end, concept as concept_name, id from readable
         qualify row_number() over (partition by acc, period_end, concept order by created_at desc nulls last, id) = 1""",
+    "p2_column_counts": f"""
+        {_CELLS_SQL}
+        select concept as concept_name, count(*) as cells from (
+            select acc, period_end, concept, unlisted from readable qualify row_number() over (partition by acc, period_end, concept order by created_at desc nulls last, id) = 1
+        ) where not unlisted group by 1""",
 }

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.plans import documents, facts_wide, passages, quality, relational, search, tools
+from filigree.plans import documents, facts_wide, files, passages, quality, relational, search, tools
 
-MODULES = [documents, facts_wide, passages, quality, relational, search, tools]
+MODULES = [documents, facts_wide, files, passages, quality, relational, search, tools]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
