@@ -211,7 +211,7 @@ def kg_path_company_filing_person(t: Tables) -> DataFrame:
 @query()
 def kg_communities(t: Tables) -> DataFrame:
     """(community, members, companies): communities of the knowledge graph by propagation of labels."""
-    edges = kg_edges_of(t)
+    edges = stage(kg_edges_of(t), label="kg-edges")  # read for its nodes and for its sides
     ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     found = graph.communities(ids, edges.withColumn("weight", F.lit(1.0)))
     return found.groupBy("community").agg(F.count("*").alias("members"), F.count_if(F.col("id").startswith("company:")).alias("companies"))

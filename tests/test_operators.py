@@ -186,6 +186,72 @@ def test_communities(spark):
     assert len({got[f"a{i}"] for i in range(5)}) == 1 and len({got[f"b{i}"] for i in range(5)}) == 1 and got["a1"] != got["b1"]
 
 
+def _propagated(edges, hashes):
+    """Labels by the rounds of ``communities`` one node at a time, until none would move."""
+    near = {}
+    for a, b in {(a, b) for x, y in edges for a, b in ((x, y), (y, x)) if a != b}:
+        near.setdefault(a, []).append(b)
+    label = {x: x for x in hashes}
+
+    def to(x):
+        votes = {}
+        for y in near.get(x, []):
+            votes[label[y]] = votes.get(label[y], 0) + 1
+        best = min(votes, key=lambda c: (-votes[c], c), default=None)
+        return best if best is not None and votes[best] > votes.get(label[x], 0) else None
+
+    for r in range(200):
+        turns = 2 + r // 16
+        moves = {x: to(x) for x in label if hashes[x] % turns == r % turns}
+        label |= {x: c for x, c in moves.items() if c is not None}
+        if all(to(x) is None for x in label):
+            return label
+    raise AssertionError("labels don't stand still")
+
+
+def _sparse_graph(spark):
+    """Edges in a loose large component and in small ones, pairs among them, which swap labels until their turns differ."""
+    import random
+
+    rng = random.Random(5)
+    edges = [(f"l{rng.randrange(i)}", f"l{i}") for i in range(1, 60)] + [(f"l{rng.randrange(60)}", f"l{rng.randrange(60)}") for _ in range(15)]
+    edges += [(f"p{i}", f"q{i}") for i in range(40)] + [(f"s{i}", f"s{i}{rng.randrange(9)}") for i in range(10) for _ in range(6)]
+    nodes = spark.createDataFrame([(x,) for x in sorted({x for e in edges for x in e} | {"alone"})], "id string").repartition(3)
+    return edges, nodes, spark.createDataFrame([(*e, 1.0) for e in edges], "src string, dst string, weight double")
+
+
+def test_communities_stand_still(spark, smoke):
+    from filigree.plans import passages as plans
+    from filigree.plans.catalog import Tables
+
+    # on these, rounds ended while four nodes would still move
+    edges = plans.kg_edges_of(Tables(spark, smoke)).withColumn("weight", F.lit(1.0))
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    hashes = {r.id: r.h for r in nodes.select("id", F.xxhash64("id").alias("h")).collect()}
+    assert dict(_rows(graph.communities(nodes, edges))) == _propagated(_rows(edges, "src", "dst"), hashes)
+
+
+def test_communities_in_tasks_and_by_rounds(spark):
+    edges, nodes, table = _sparse_graph(spark)
+    want = _propagated(edges, {r.id: r.h for r in nodes.select("id", F.xxhash64("id").alias("h")).collect()})
+    assert dict(_rows(graph.communities(nodes, table))) == want
+    # small components in several tasks, the large one by rounds over all tasks
+    assert dict(_rows(graph.communities(nodes, table, most=100))) == want
+    assert _rows(graph.communities(nodes, table.limit(0))) == [(x, x) for x in sorted(want)]
+    with pytest.raises(RuntimeError, match="still change"):
+        graph.communities(nodes, table, max_rounds=1)
+
+
+def test_communities_need_no_job_for_each_round(spark):
+    _, nodes, table = _sparse_graph(spark)
+    spark.sparkContext.setJobGroup("communities", "")
+    try:
+        graph.communities(nodes, table).count()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("communities")) < 40
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_expand(spark):
     edges = spark.createDataFrame([("s", "a", 0.9), ("s", "b", 0.3), ("c", "s", 0.5), ("s", "v", 0.8)], "src string, dst string, weight double")
     near = graph.expand(spark.createDataFrame([("s",)], "id string"), edges, spark.createDataFrame([("s",), ("v",)], "id string"), per_seed=2)
