@@ -27,9 +27,11 @@ meets profiles with one follows them if all of them have the same, and stays
 alone otherwise. Which merges happen depends on what profiles hold and on
 nothing else.
 
-Blocks are worked on by aggregates over a key, combined before the shuffle and
-by suffix first, never by pairs; after the first round only those that a merged
-profile has entered. Rounds are cut by written tables.
+Companies do not touch each other, so tasks work through all rounds of the
+companies they hold, over arrays. A company of more than ``most`` profiles goes
+round by round over all tasks, cut by written tables. Either way blocks are
+worked on by aggregates over a key, in the tables combined before the shuffle
+and by suffix first, never by pairs.
 
 Defined results: blank, null and placeholder names, and records without a
 company, are linked to nobody; repeated rows count once.
@@ -39,8 +41,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -268,28 +270,26 @@ def _profiles(batches):
         yield pa.record_batch([b.column("id").take(take), pa.array(profiles, pa.int64()), b.column("company").take(take), pa.array(forms, form), pa.array(dates, pa.string())], ["id", "profile", "company", "forms", "date"])
 
 
+def _key_columns(holders, near: bool) -> list[pa.Array]:
+    """The place of each key's holder (company, forms, dates), then form, key, role, rung, known, unknown, doubt and dated, as in ``KEY``."""
+    make, rows = keys_of if near else exact_keys, []
+    for i, (company, forms, dates) in enumerate(holders):
+        for form, key, role, rung, mark in make(sorted(forms), dates):
+            sign = xxhash.xxh3_64_intdigest(mark) >> 1 if mark and role == STRONG else None
+            sure = not mark.startswith("?")
+            rows.append((i, form, xxhash.xxh3_64_intdigest(f"{company}|{key}".encode()) - (1 << 63), role, rung, sign if sure else None, None if sure else sign, mark == "?", bool(dates)))
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+    return [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * len(kinds), kinds)]
+
+
 def _make_keys(near: bool):
     """Rows (entity, company, forms, dates, suffix) to ``KEY``."""
-    make = keys_of if near else exact_keys
 
     def work(batches):
         for b in batches:
-            index, rows, dated = [], [], []
-            for i, (company, forms, dates) in enumerate(zip(b.column("company").to_pylist(), b.column("forms").to_pylist(), b.column("dates").to_pylist())):
-                ordered = sorted(tuple(f.values()) for f in forms)
-                for form, key, role, rung, mark in make(ordered, dates):
-                    index.append(i)
-                    dated.append(bool(dates))
-                    sign = xxhash.xxh3_64_intdigest(mark) >> 1 if mark and role == STRONG else None
-                    sure = not mark.startswith("?")
-                    rows.append((form, xxhash.xxh3_64_intdigest(f"{company}|{key}".encode()) - (1 << 63), role, rung, sign if sure else None, None if sure else sign, mark == "?"))
-            cols = list(zip(*rows)) if rows else [()] * 7
-            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
-            take = pa.array(index, pa.int64())
-            yield pa.record_batch(
-                [b.column("entity").take(take), b.column("suffix").take(take), *[pa.array(c, k) for c, k in zip(cols, kinds)], pa.array(dated, pa.bool_())],
-                ["entity", "suffix", "form", "key", "role", "rung", "known", "unknown", "doubt", "dated"],
-            )
+            companies, forms, dates = (b.column(c).to_pylist() for c in ("company", "forms", "dates"))
+            take, *cols = _key_columns(((c, {tuple(f.values()) for f in fs}, d) for c, fs, d in zip(companies, forms, dates)), near)
+            yield pa.record_batch([b.column("entity").take(take), b.column("suffix").take(take), *cols], ["entity", "suffix", "form", "key", "role", "rung", "known", "unknown", "doubt", "dated"])
 
     return work
 
@@ -318,17 +318,8 @@ def given_states(profiles: DataFrame) -> DataFrame:
     return known.withColumn("state", F.lit(KNOWN)).unionByName(mistyped.withColumn("state", F.lit(MISTYPED)))
 
 
-def _asked(keys: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of the keys those whose rows tell more since the rows ``new`` came, whole keys, and the weak spellings (entity, form) that follow such a key, with all their keys."""
-    active = new.select("key").distinct()
-    weak = keys.where(F.col("role") == WEAK)
-    units = stage(weak.join(active, "key", "left_semi").select("entity", "form").distinct(), label="weak-spellings")
-    needed = active.unionByName(weak.join(units, ["entity", "form"], "left_semi").select("key")).distinct()
-    return stage(keys.join(needed, "key", "left_semi").select(*keys.columns), label="keys-at-hand"), units
-
-
-def _links(keys: DataFrame, units: DataFrame | None) -> DataFrame:
-    """(entity, sa, to): who may merge with whom, with the first one's suffix, 0 for none; of weak spellings only ``units``, where given."""
+def _links(keys: DataFrame) -> DataFrame:
+    """(entity, sa, to): who may merge with whom, with the first one's suffix, 0 for none."""
     firm = F.col("role") < WEAK
     good = firm & ~F.col("doubt")
     strong = F.col("role") == STRONG
@@ -352,8 +343,7 @@ def _links(keys: DataFrame, units: DataFrame | None) -> DataFrame:
     plain = told.where("not apart").select("entity", F.col("suffix").alias("sa"), F.explode(F.array(F.when(suffixed, F.col("own_with")).otherwise(F.col("own_bare")), F.when(~suffixed, F.col("own_with")))).alias("to"))
     several = told.where(F.col("apart") & suffixed).join(by_suffix.select("key", "suffix", "own"), ["key", "suffix"]).select("entity", F.col("suffix").alias("sa"), F.col("own").alias("to"))
     # weak spellings: the rungs of their keys side by side
-    seen = keys.where(F.col("role") == WEAK)
-    seen = (seen if units is None else seen.join(units, ["entity", "form"], "left_semi")).join(by_key, "key")
+    seen = keys.where(F.col("role") == WEAK).join(by_key, "key")
     doubt = F.col("doubt")
     seen = seen.withColumns({"c_lo": F.when(doubt, F.col("good_lo")).otherwise(F.col("firm_lo")), "c_hi": F.when(doubt, F.col("good_hi")).otherwise(F.col("firm_hi"))})
     seen = seen.withColumn("suits", ((~suffixed | F.col("s_lo").isNull() | (F.col("s_lo") == F.col("suffix"))) & ~F.col("apart")).cast("int"))
@@ -374,9 +364,9 @@ def _links(keys: DataFrame, units: DataFrame | None) -> DataFrame:
     return plain.unionByName(several).unionByName(weak).where("to <> entity").distinct()
 
 
-def _moves(keys: DataFrame, units: DataFrame | None, entities: DataFrame, near: bool) -> DataFrame:
+def _moves(keys: DataFrame, entities: DataFrame, near: bool) -> DataFrame:
     """(entity, to): who merges into whom in this round."""
-    links = _links(keys, units).join(entities.select(F.col("entity").alias("to"), F.col("suffix").alias("sb")), "to")
+    links = _links(keys).join(entities.select(F.col("entity").alias("to"), F.col("suffix").alias("sb")), "to")
     links = stage(links.where("sa = sb or least(sa, sb) = 0"), label="name-links")
     same = links.where("sa = sb").select("entity", "to")
     if near:
@@ -401,36 +391,22 @@ def _one_suffix(forms: str) -> Column:
     return F.when(F.size(said) == 1, F.array_position(F.array(*map(F.lit, _KINDS)), said[0]).cast("int")).otherwise(F.lit(0))
 
 
-def resolve(records: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(id, entity): records (id bigint, company string, names array<string>, date string) that mean the same have one entity."""
-    spark = records.sparkSession
-    bound_batches(spark)
-    usable = records.where("id is not null and company is not null").select("id", "company", "names", "date").distinct()
-    rows = stage(usable.mapInArrow(_profiles, f"id bigint, {PROFILE}"), label="name-profiles")
-    members = rows.select("id", "profile").distinct()
-    profiles = rows.drop("id").dropDuplicates(["profile"])
-    states = given_states(profiles)
-    forms = profiles.select("profile", "company", "date", F.explode("forms").alias("f")).withColumn("given", F.when(F.col("f.kind") == "full", F.col("f.given")))
-    told = forms.join(states, "given", "left").select("profile", "company", "date", F.struct("f.*", F.coalesce("state", F.lit(UNKNOWN)).alias("state")).cast(_FORM).alias("f"))
-    entities = told.groupBy("profile").agg(F.first("company").alias("company"), F.collect_set("f").alias("forms"), F.first("date").alias("date"))
-    entities = entities.select(F.col("profile").alias("entity"), "company", "forms", F.when(F.col("date") == "", F.array().cast("array<string>")).otherwise(F.array("date")).alias("dates"), _one_suffix("forms").alias("suffix"))
-    entities = stage(entities, label="name-entities")
-    all_profiles = entities.select(F.col("entity").alias("profile"), "entity")
+def _settled_by_rounds(entities: DataFrame, max_rounds: int) -> DataFrame:
+    """The same as ``_settled``, each round written tables, for companies that no task may hold.
+
+    Each round looks at all keys: what a profile without a suffix follows
+    depends on all that it meets, not only on those with news.
+    """
+    labels = entities.select(F.col("entity").alias("profile"), "entity")
     count, rounds, history = entities.count(), 0, []
     for near in (False, True):
         made = lambda df, n: stage(_spread(df, n).mapInArrow(_make_keys(near), KEY), label="name-keys")  # noqa: E731, B023
-        keys, alone, units = made(entities, count), None, None
-        if near:
-            # keys of a single profile wait until a merged one asks for them
-            shared = stage(keys.groupBy("key").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")).where("lo <> hi").select("key"), label="shared-keys")
-            alone = stage(keys.join(shared, "key", "left_anti").select(*keys.columns), label="keys-of-one")
-            keys = stage(keys.join(shared, "key", "left_semi").select(*keys.columns), label="keys-of-several")
-        at_hand, before = keys, len(history)
+        keys = made(entities, count)
         while True:
             rounds += 1
             if rounds > max_rounds:
                 raise RuntimeError(f"names still merged after {max_rounds} rounds")
-            moves = stage(_moves(at_hand, units, entities, near), label="name-moves")
+            moves = stage(_moves(keys, entities, near), label="name-moves")
             merged = moves.count()
             if not merged:
                 break
@@ -443,26 +419,206 @@ def resolve(records: DataFrame, max_rounds: int = 60) -> DataFrame:
             if not near:
                 # what is left of these merges comes with the others
                 break
-            new = made(changed, merged)
-            # keys set aside are of no use where their profile has merged since
-            merged_since = reduce(DataFrame.unionByName, history[before:]).select(F.explode(F.array("entity", "to")).alias("entity")).distinct()
-            asked = alone.join(new.select("key").distinct(), "key", "left_semi").join(merged_since, "entity", "left_anti").select(*keys.columns)
-            keys = stage(keys.unionByName(asked).join(touched, "entity", "left_anti").unionByName(new), label="name-keys")
-            # a key that nobody with news has tells what it told before
-            at_hand, units = _asked(keys, new)
-    labels = all_profiles
+            keys = stage(keys.join(touched, "entity", "left_anti").unionByName(made(changed, merged)), label="name-keys")
     for moves in history:
         labels = labels.join(moves, "entity", "left").select("profile", F.coalesce("to", "entity").alias("entity"))
-    return members.join(stage(labels, label="name-labels"), "profile").select("id", "entity").distinct()
+    return stage(labels, label="name-labels")
+
+
+#: Above every place of a profile and every sign: what the least of none is.
+NOBODY = np.iinfo(np.int64).max
+
+
+def _runs(*cols: np.ndarray) -> np.ndarray:
+    """Where rows sorted by these columns begin to differ from the row before."""
+    new = np.ones(len(cols[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
+    return np.flatnonzero(new)
+
+
+def _least(x: np.ndarray, where: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.minimum.reduceat(np.where(where, x, NOBODY), at)
+
+
+def _greatest(x: np.ndarray, where: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.maximum.reduceat(np.where(where, x, -1), at)
+
+
+def _links_at_hand(keys: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_links`` over arrays; entities are places, absent signs -1."""
+    order = np.lexsort((keys["suffix"], keys["key"]))
+    key, entity = keys["key"][order], keys["entity"][order]
+    at = _runs(key) if len(key) else np.zeros(0, np.int64)
+    if len(at):
+        several = np.minimum.reduceat(entity, at) != np.maximum.reduceat(entity, at)
+        order = order[np.repeat(several, np.diff(at, append=len(key)))]
+    if not len(at) or not len(order):
+        return (np.zeros(0, np.int64),) * 3
+    key, entity, suffix, role, rung, known, unknown, doubt, dated, form = (keys[c][order] for c in ("key", "entity", "suffix", "role", "rung", "known", "unknown", "doubt", "dated", "form"))
+    at, by_suffix = _runs(key), _runs(key, suffix)
+    of = np.repeat(np.arange(len(at)), np.diff(at, append=len(key)))
+    own = np.repeat(np.arange(len(by_suffix)), np.diff(by_suffix, append=len(key)))
+    firm, strong, suffixed = role < WEAK, role == STRONG, suffix > 0
+    good = firm & ~doubt
+    lo = np.minimum.reduceat(entity, at)
+    any_dated = _greatest(dated.astype(np.int64), firm, at)
+    s_lo, s_hi = _least(suffix, suffixed, at), _greatest(suffix, suffixed, at)
+    apart = (s_lo < s_hi)[of]
+    names_apart = (_least(known, known >= 0, at) < _greatest(known, known >= 0, at)) | (_least(unknown, unknown >= 0, at) < _greatest(unknown, unknown >= 0, at))
+    own, own_with, own_bare = _least(entity, strong, by_suffix)[own], _least(entity, strong & suffixed, at)[of], _least(entity, strong & ~suffixed, at)[of]
+    told = strong & ~names_apart[of]
+    plain, bare, parted = told & ~apart, told & ~apart & ~suffixed, told & apart & suffixed
+    links = [(entity[plain], suffix[plain], np.where(suffixed, own_with, own_bare)[plain]), (entity[bare], suffix[bare], own_with[bare]), (entity[parted], suffix[parted], own[parted])]
+    seen = np.flatnonzero(role == WEAK)
+    if len(seen):
+        seen = seen[np.lexsort((form[seen], entity[seen]))]
+        c_lo = np.where(doubt, _least(entity, good, at)[of], _least(entity, firm, at)[of])[seen]
+        c_hi = np.where(doubt, _greatest(entity, good, at)[of], _greatest(entity, firm, at)[of])[seen]
+        suits = ((~suffixed | (s_lo[of] == NOBODY) | (s_lo[of] == suffix)) & ~apart)[seen].astype(np.int64)
+        low, others, doubt, rung = lo[of][seen], any_dated[of][seen], doubt[seen], rung[seen]
+        one = _runs(entity[seen], form[seen])
+        los, his = [_least(c_lo, rung == r, one) for r in range(4)], [_greatest(c_hi, rung == r, one) for r in range(4)]
+        alone = _least(low, (rung == EXACT) & ~doubt, one)
+        others = _greatest(others, (rung == EXACT) | (rung == NEAR), one) == 1
+        # the others tell dates and none of them is of the same year
+        veto = dated[seen][one] & others & (los[EXACT_DATED] == NOBODY) & (los[NEAR_DATED] == NOBODY)
+        unique = [a == b for a, b in zip(los, his)]
+        exact = np.where(unique[EXACT] & ~veto, los[EXACT], np.where(unique[EXACT_DATED], los[EXACT_DATED], NOBODY))
+        near = np.where(unique[NEAR] & ~veto, los[NEAR], np.where(unique[NEAR_DATED], los[NEAR_DATED], NOBODY))
+        to = np.where(los[EXACT] != NOBODY, exact, np.where(los[NEAR] != NOBODY, near, alone))
+        to = np.where(_least(suits, rung == EXACT, one) != 0, to, NOBODY)
+        links.append((entity[seen][one], suffix[seen][one], to))
+    entity, sa, to = (np.concatenate(x) for x in zip(*links))
+    some = (to != NOBODY) & (to != entity)
+    return entity[some], sa[some], to[some]
+
+
+def _moves_at_hand(keys: dict[str, np.ndarray], suffix: np.ndarray, near: bool) -> np.ndarray:
+    """``_moves`` over arrays: where each entity goes, itself where it stays."""
+    entity, sa, to = _links_at_hand(keys)
+    sb = suffix[to]
+    same, other = sa == sb, (sa != sb) & (np.minimum(sa, sb) == 0)
+    a, b = entity[same], to[same]
+    if near:
+        first = sa[other] == 0
+        bare, beside, kind = np.where(first, entity[other], to[other]), np.where(first, to[other], entity[other]), np.maximum(sa, sb)[other]
+        least, most, busy = np.full(len(suffix), NOBODY), np.full(len(suffix), -1), np.zeros(len(suffix), bool)
+        np.minimum.at(least, bare, kind)
+        np.maximum.at(most, bare, kind)
+        busy[a] = busy[b] = True
+        sure = ((least == most) & ~busy)[bare]
+        a, b = np.concatenate([a, bare[sure]]), np.concatenate([b, beside[sure]])
+    target = np.arange(len(suffix))
+    np.minimum.at(target, np.maximum(a, b), np.minimum(a, b))
+    return target[target]
+
+
+def _settle(rows: list[tuple], max_rounds: int) -> tuple[list[int], list[int]]:
+    """Profiles and their entities, of rows (entity, company, forms, dates, suffix) of whole companies."""
+    rows = sorted(rows, key=lambda r: r[0])  # places are ordered as the ids are
+    ids, companies, forms, dates, suffix = map(list, zip(*rows))
+    forms, dates, suffix = [{tuple(f.values()) for f in x} for x in forms], [set(x) for x in dates], np.array(suffix, np.int64)
+    of_company = np.unique(companies, return_inverse=True)[1]
+    label, rounds = np.arange(len(ids)), 0
+    for near in (False, True):
+
+        def made(some):
+            take, *cols = _key_columns(((companies[i], forms[i], dates[i]) for i in some.tolist()), near)  # noqa: B023
+            entity = some[take.to_numpy()]
+            cols = [c.to_numpy(zero_copy_only=False) if pa.types.is_boolean(c.type) else c.fill_null(-1).to_numpy().astype(np.int64, copy=False) for c in cols]
+            return {"entity": entity, "suffix": suffix[entity]} | dict(zip(("form", "key", "role", "rung", "known", "unknown", "doubt", "dated"), cols))
+
+        keys = made(np.unique(label))
+        while True:
+            rounds += 1
+            if rounds > max_rounds:
+                raise RuntimeError(f"names still merged after {max_rounds} rounds")
+            to = _moves_at_hand(keys, suffix, near)
+            moved = np.flatnonzero(to != np.arange(len(ids)))
+            if not len(moved):
+                break
+            touched = np.union1d(moved, to[moved])
+            held = [(int(to[i]), forms[i], dates[i]) for i in touched.tolist()]
+            for i in touched.tolist():
+                forms[i], dates[i] = set(), set()
+            for i, f, d in held:
+                forms[i] |= f
+                dates[i] |= d
+            changed = np.unique(to[touched])
+            for i in changed.tolist():
+                said = {f[3] for f in forms[i] if f[3]}
+                suffix[i] = _KINDS.index(said.pop()) + 1 if len(said) == 1 else 0
+            label = to[label]
+            if not near:
+                break
+            # a company without news is done
+            news, fresh = np.zeros(of_company.max() + 1, bool), np.zeros(len(ids), bool)
+            news[of_company[touched]], fresh[touched] = True, True
+            rest, new = news[of_company[keys["entity"]]] & ~fresh[keys["entity"]], made(changed)
+            keys = {c: np.concatenate([x[rest], new[c]]) for c, x in keys.items()}
+    return ids, [ids[i] for i in label.tolist()]
+
+
+#: Profiles that a task works through at a time, as far as whole companies allow.
+LOT = 1_000
+#: Profiles of a company up to which a task settles it, about 20 KB each with their keys.
+MOST_PROFILES = 10_000
+
+
+def _settled(max_rounds: int):
+    """Rows (entity, company, forms, dates, suffix) sorted by company to (profile, entity)."""
+
+    def work(batches):
+        def settled(rows):
+            return pa.record_batch([pa.array(x, pa.int64()) for x in _settle(rows, max_rounds)], ["profile", "entity"])
+
+        lot: list[tuple] = []
+        for b in batches:
+            for row in zip(*(b.column(c).to_pylist() for c in ("entity", "company", "forms", "dates", "suffix"))):
+                if len(lot) >= LOT and row[1] != lot[-1][1]:
+                    yield settled(lot)
+                    lot = []
+                lot.append(row)
+        if lot:
+            yield settled(lot)
+
+    return work
+
+
+def resolve(records: DataFrame, max_rounds: int = 60, most: int = MOST_PROFILES) -> DataFrame:
+    """(id, entity): records (id bigint, company string, names array<string>, date string) that mean the same have one entity."""
+    spark = records.sparkSession
+    bound_batches(spark)
+    usable = records.where("id is not null and company is not null").select("id", "company", "names", "date").distinct()
+    rows = stage(usable.mapInArrow(_profiles, f"id bigint, {PROFILE}"), label="name-profiles")
+    members = rows.select("id", "profile").distinct()
+    profiles = rows.drop("id").dropDuplicates(["profile"])
+    states = given_states(profiles)
+    forms = profiles.select("profile", "company", "date", F.explode("forms").alias("f")).withColumn("given", F.when(F.col("f.kind") == "full", F.col("f.given")))
+    told = forms.join(states, "given", "left").select("profile", "company", "date", F.struct("f.*", F.coalesce("state", F.lit(UNKNOWN)).alias("state")).cast(_FORM).alias("f"))
+    entities = told.groupBy("profile").agg(F.first("company").alias("company"), F.collect_set("f").alias("forms"), F.first("date").alias("date"))
+    entities = entities.select(F.col("profile").alias("entity"), "company", "forms", F.when(F.col("date") == "", F.array().cast("array<string>")).otherwise(F.array("date")).alias("dates"), _one_suffix("forms").alias("suffix"))
+    entities = stage(entities, label="name-entities")
+    sizes = stage(entities.groupBy("company").agg(F.count("*").alias("n")), label="company-sizes")
+    count, large = sizes.agg(F.sum("n"), F.count_if(F.col("n") > most)).first()
+    small = entities
+    if large:
+        beyond = sizes.where(F.col("n") > most).select("company")
+        small = entities.join(beyond, "company", "left_anti").select(*entities.columns)
+    labels = _spread(small, count or 0, "company").sortWithinPartitions("company").mapInArrow(_settled(max_rounds), "profile bigint, entity bigint")
+    labels = stage(labels, label="name-labels")
+    if large:
+        labels = labels.unionByName(_settled_by_rounds(stage(entities.join(beyond, "company", "left_semi").select(*entities.columns), label="name-entities"), max_rounds))
+    return members.join(labels, "profile").select("id", "entity").distinct()
 
 
 PROFILES_A_TASK, PROFILES_WORTH_A_TASK = 20_000, 500
 
 
-def _spread(df: DataFrame, n: int) -> DataFrame:
+def _spread(df: DataFrame, n: int, by: str = "entity") -> DataFrame:
     """Few bytes become many keys: the tasks are as many as the profiles ask for, not their bytes."""
     tasks = max(-(-n // PROFILES_A_TASK), min(df.sparkSession.sparkContext.defaultParallelism, -(-n // PROFILES_WORTH_A_TASK)), 1)
-    return df.repartition(tasks, "entity")
+    return df.repartition(tasks, by)
 
 
 PAIR_BLOCK = 2_000

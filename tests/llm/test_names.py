@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -105,3 +108,42 @@ def test_pairs_of_a_large_entity_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(N, "PAIR_BLOCK", 7)
     ent = spark.createDataFrame([(i, i // 40) for i in range(80)], "id bigint, entity bigint")
     assert N.linked_pairs(ent).count() == 2 * 40 * 39 // 2
+
+
+def test_rounds_of_companies_write_no_tables(spark, monkeypatch):
+    """Each round was 10 jobs or so on the driver, which ran out of memory with them."""
+    written = []
+    monkeypatch.setattr(N, "stage", lambda df, *, label="stage", own=N.stage: written.append(label) or own(df, label=label))
+    assert _groups(spark, [(1, "c", ["Ann Lee"], None)]) == [[1]]
+    once = written[:]
+    written.clear()
+    rows = [(1, "c", ["Katherine Jorishe"], None), (2, "c", ["Katherine Lanley-Zelson", "Katherine Jorishe"], None), (3, "c", ["Ms. Kate LanleyZelson"], None), (4, "c", ["K. Jorishe"], None), (5, "c", ["Lanley Zelson, K. T."], None)]
+    assert _groups(spark, rows) == [[1, 2, 3, 4, 5]] and written == once
+
+
+MET_BEFORE = [(1, "c", ["Ivan Petrov", "Ivan Marsh"], None), (2, "c", ["Ivan Petrov Jr."], None), (3, "c", ["Ivan Marsh Sr."], None), (4, "c", ["Ivan Marhs Sr."], None)]
+
+
+def test_a_suffix_met_in_an_earlier_round_counts(spark):
+    """The two Sr. merge first; the Jr. still keeps the one without a suffix from following them."""
+    assert _groups(spark, MET_BEFORE) == [[1], [2], [3, 4]]
+
+
+def test_large_companies_by_rounds_agree_with_tasks(spark):
+    rng = random.Random(5)
+    rows = MET_BEFORE[:]
+    for i in range(5, 150):
+        given, last = rng.choice("Ivan Olga Robert Rob Stephen Steven Brunhild".split()), rng.choice("Petrov Marsh Harwell Orrwell-Quilley".split())
+        if rng.random() < 0.4:
+            at = rng.randrange(1, len(last))
+            last = last[:at] + last[at + 1 :]
+        given = rng.choice([given, given, given[0] + ".", "Dr."])
+        spelled = [f"{given} {last}{rng.choice(['', '', '', ' Jr.', ' Sr.'])}"] + [f"{given} Zelson"] * (rng.random() < 0.1)
+        if rng.random() < 0.1:
+            spelled = [f"{last} & Zelson {rng.choice(['Audit', 'Trust'])}{rng.choice(['', ' LLP', ' Corp'])}"]
+        rows.append((i, rng.choice("cccde"), spelled, rng.choice([None, None, "2014", "2014-03", "2015-01-02"])))
+    df = spark.createDataFrame(rows, "id bigint, company string, names array<string>, date string")
+    sizes = Counter(r[1] for r in rows)
+    within = sorted(map(tuple, N.resolve(df).collect()))
+    assert sorted(map(tuple, N.resolve(df, most=sizes["d"]).collect())) == within and sizes["c"] > sizes["d"]
+    assert 10 < len({e for _, e in within}) < 100
