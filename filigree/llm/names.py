@@ -41,6 +41,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -270,16 +271,27 @@ def _profiles(batches):
         yield pa.record_batch([b.column("id").take(take), pa.array(profiles, pa.int64()), b.column("company").take(take), pa.array(forms, form), pa.array(dates, pa.string())], ["id", "profile", "company", "forms", "date"])
 
 
-def _key_columns(holders, near: bool) -> list[pa.Array]:
-    """The place of each key's holder (company, forms, dates), then form, key, role, rung, known, unknown, doubt and dated, as in ``KEY``."""
-    make, rows = keys_of if near else exact_keys, []
+def _key_columns(holders, near: bool) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """The place of each key's holder (company, forms, dates), and the columns of ``KEY`` from form on, absent signs -1."""
+    make, digest = keys_of if near else exact_keys, xxhash.xxh3_64_intdigest
+    place, dated, marks = array("q"), array("b"), {}
+    form, key, role, rung, mark = (array("q") for _ in range(5))
     for i, (company, forms, dates) in enumerate(holders):
-        for form, key, role, rung, mark in make(sorted(forms), dates):
-            sign = xxhash.xxh3_64_intdigest(mark) >> 1 if mark and role == STRONG else None
-            sure = not mark.startswith("?")
-            rows.append((i, form, xxhash.xxh3_64_intdigest(f"{company}|{key}".encode()) - (1 << 63), role, rung, sign if sure else None, None if sure else sign, mark == "?", bool(dates)))
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
-    return [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * len(kinds), kinds)]
+        made = make(sorted(forms), dates)
+        if not made:
+            continue
+        some, names, roles, rungs, said = zip(*made)
+        place.extend([i] * len(made))
+        dated.extend([bool(dates)] * len(made))
+        form.extend(some)
+        key.extend([digest(f"{company}|{x}".encode()) - (1 << 63) for x in names])
+        role.extend(roles)
+        rung.extend(rungs)
+        mark.extend([marks.setdefault(x, len(marks)) for x in said])
+    signs = np.array([digest(x) >> 1 if x.strip("?") else -1 for x in marks], np.int64)
+    sure, doubt, of = np.array([not x.startswith("?") for x in marks], bool), np.array([x == "?" for x in marks], bool), np.array(mark, np.int64)
+    known, unknown = np.where(sure, signs, -1), np.where(sure, -1, signs)
+    return np.array(place), {"form": np.array(form), "key": np.array(key), "role": np.array(role), "rung": np.array(rung), "known": known[of], "unknown": unknown[of], "doubt": doubt[of], "dated": np.array(dated).astype(bool)}
 
 
 def _make_keys(near: bool):
@@ -288,8 +300,11 @@ def _make_keys(near: bool):
     def work(batches):
         for b in batches:
             companies, forms, dates = (b.column(c).to_pylist() for c in ("company", "forms", "dates"))
-            take, *cols = _key_columns(((c, {tuple(f.values()) for f in fs}, d) for c, fs, d in zip(companies, forms, dates)), near)
-            yield pa.record_batch([b.column("entity").take(take), b.column("suffix").take(take), *cols], ["entity", "suffix", "form", "key", "role", "rung", "known", "unknown", "doubt", "dated"])
+            take, cols = _key_columns(((c, {tuple(f.values()) for f in fs}, d) for c, fs, d in zip(companies, forms, dates)), near)
+            small = {c: pa.array(cols[c], pa.int32()) for c in ("form", "role", "rung")}
+            signs = {c: pa.array(cols[c], mask=cols[c] < 0) for c in ("known", "unknown")}
+            cols = {"entity": b.column("entity").take(pa.array(take)), "suffix": b.column("suffix").take(pa.array(take))} | cols | small | signs
+            yield pa.record_batch([pa.array(c) for c in cols.values()], list(cols))
 
     return work
 
@@ -523,10 +538,9 @@ def _settle(rows: list[tuple], max_rounds: int) -> tuple[list[int], list[int]]:
     for near in (False, True):
 
         def made(some):
-            take, *cols = _key_columns(((companies[i], forms[i], dates[i]) for i in some.tolist()), near)  # noqa: B023
-            entity = some[take.to_numpy()]
-            cols = [c.to_numpy(zero_copy_only=False) if pa.types.is_boolean(c.type) else c.fill_null(-1).to_numpy().astype(np.int64, copy=False) for c in cols]
-            return {"entity": entity, "suffix": suffix[entity]} | dict(zip(("form", "key", "role", "rung", "known", "unknown", "doubt", "dated"), cols))
+            take, cols = _key_columns(((companies[i], forms[i], dates[i]) for i in some.tolist()), near)  # noqa: B023
+            entity = some[take]
+            return {"entity": entity, "suffix": suffix[entity]} | cols
 
         keys = made(np.unique(label))
         while True:
@@ -561,7 +575,7 @@ def _settle(rows: list[tuple], max_rounds: int) -> tuple[list[int], list[int]]:
 
 #: Profiles that a task works through at a time, as far as whole companies allow.
 LOT = 1_000
-#: Profiles of a company up to which a task settles it, about 20 KB each with their keys.
+#: Profiles of a company up to which a task settles it, about 13 KB each with their keys.
 MOST_PROFILES = 10_000
 
 
